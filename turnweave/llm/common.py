@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 WORD_SPACE = r"[\x20\x09-\x0D]"
 
 
@@ -19,7 +21,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def arrow_limits(spark: SparkSession, rows: int = 2000) -> None:
-    """Keeps Arrow batches small, so that long texts don't add up in a Python worker."""
+    """Keeps Arrow batches small, so that long texts don't add up in a Python worker, and
+    gives the workers this package."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
@@ -49,12 +53,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spill(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` as Parquet to the shared folder and reads it back: columnar, so
-    that later passes over a few columns don't read the others."""
+def spilled(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Writes ``df`` as Parquet to the shared folder and reads it back: columnar, so that
+    later passes over a few columns don't read the others.  Also gives the path."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def spill(df: DataFrame, label: str) -> DataFrame:
+    return spilled(df, label)[0]
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes an intermediate table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 # -- word hashing over Arrow buffers ---------------------------------------------------

@@ -32,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, components, materialize, mix64, read, shingle_hashes, spill, text_buffers, word_hashes
+from .common import arrow_limits, components, drop_path, materialize, mix64, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
 
 BANDS, ROWS = 24, 4
 BATCH = 16
+#: Members of a bucket that are compared at once.
+BLOCK = 256
 _RNG = np.random.default_rng(8_191)
 _A = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32)
@@ -81,7 +83,7 @@ def signatures(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _binary(values: np.ndarray) -> pa.Array:
+def as_binary(values: np.ndarray) -> pa.Array:
     """Rows of a 2-d array as binary values."""
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(values.shape[1] * values.itemsize), len(values), [None, pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
 
@@ -95,25 +97,31 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             u = np.unique(s[starts[i] : starts[i + 1]])
             n[i] = len(u)
             prints[i] = mix64(u).sum(dtype=np.uint64), mix64(u ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), _binary(prints), _binary(signatures(s, starts))], names=["id", "n", "print", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), as_binary(prints), as_binary(signatures(s, starts))], names=["id", "n", "print", "sig"])
+
+
+def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """The bucket key of each band of each signature."""
+    keys = np.zeros((len(sig), bands), dtype=np.uint64)
+    for b in range(bands):
+        h = np.full(len(sig), b + 1, dtype=np.uint64)
+        for r in range(rows):
+            h = mix64(h + sig[:, b * rows + r])
+        keys[:, b] = h
+    return keys
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sig = _signature_matrix(batch.column(1))
-        keys = np.zeros((len(sig), BANDS), dtype=np.uint64)
-        for b in range(BANDS):
-            h = np.full(len(sig), b + 1, dtype=np.uint64)
-            for r in range(ROWS):
-                h = mix64(h + sig[:, b * ROWS + r])
-            keys[:, b] = h
+        keys = band_keys(sig, BANDS, ROWS)
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(ids, BANDS))], names=["key", "cid"])
 
 
-def _signature_matrix(col: pa.Array) -> np.ndarray:
+def _signature_matrix(col: pa.Array, width: int = BANDS * ROWS) -> np.ndarray:
     raw, _ = _raw(col)
-    return raw.view(np.uint32).reshape(len(col), BANDS * ROWS)
+    return raw.view(np.uint32).reshape(len(col), width)
 
 
 def _raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,20 +133,54 @@ def _raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[o[0] : o[-1]].copy(), o - o[0]
 
 
+def _survivors(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
+    """Rows of paired signatures that no batch of positions gives up."""
+    alive, matches, done = np.arange(len(x)), np.zeros(len(x), dtype=np.int64), 0
+    for n, least in steps:
+        matches = matches + (x[alive, done:n] == y[alive, done:n]).sum(axis=1)
+        keep = matches >= least
+        alive, matches, done = alive[keep], matches[keep], n
+        if not len(alive):
+            break
+    return alive
+
+
 def _prune(batches: Iterator[pa.RecordBatch], steps: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x, y = _signature_matrix(batch.column(2)), _signature_matrix(batch.column(3))
-        alive, matches, done = np.arange(len(x)), np.zeros(len(x), dtype=np.int64), 0
-        for n, least in steps:
-            matches = matches + (x[alive, done:n] == y[alive, done:n]).sum(axis=1)
-            keep = matches >= least
-            alive, matches, done = alive[keep], matches[keep], n
-            if not len(alive):
-                break
-        at = pa.array(alive)
+        at = pa.array(_survivors(_signature_matrix(batch.column(2)), _signature_matrix(batch.column(3)), steps))
         yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
 
+def _cross(batches: Iterator[pa.RecordBatch], bands: int, rows: int, percent: int, steps: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Pairs between blocks of one bucket's outsiders and members that may be linked: of
+    different components, similar size, no earlier band in common, and not given up."""
+    for batch in batches:
+        sides = []
+        for c in (1, 2):
+            col = batch.column(c)
+            at = col.offsets.to_numpy()
+            v = col.values
+            sides.append((at, *(v.field(i).to_numpy(zero_copy_only=False) for i in range(4)), v.field(4)))
+        first, second = [], []
+        for i, key in enumerate(batch.column(0).to_numpy()):
+            (p, pc, pn, po, ps), (q, qc, qn, qo, qs) = (
+                (*(f[at[i] : at[i + 1]] for f in (cid, comp, n, out)), _signature_matrix(sig.slice(at[i], at[i + 1] - at[i]), bands * rows)) for at, cid, comp, n, out, sig in sides
+            )
+            ok = (pc[:, None] != qc[None, :]) & (~qo[None, :] | (p[:, None] < q[None, :]))
+            ok &= 100 * np.minimum(pn[:, None], qn[None, :]) >= percent * np.maximum(pn[:, None], qn[None, :])
+            j, k = np.nonzero(ok)
+            for lo in range(0, len(j), 1 << 15):
+                a, b = j[lo : lo + (1 << 15)], k[lo : lo + (1 << 15)]
+                same = (ps[a] == qs[b]).reshape(len(a), bands, rows).all(axis=2)
+                own = band_keys(ps, bands, rows).view(np.int64) == key
+                here = np.flatnonzero(same.argmax(axis=1) == own.argmax(axis=1)[a])
+                a, b = a[here], b[here]
+                keep = _survivors(ps[a], qs[b], steps)
+                first.append(np.minimum(p[a[keep]], q[b[keep]]))
+                second.append(np.maximum(p[a[keep]], q[b[keep]]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (first, second)], names=["a", "b"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         s, starts = shingle_sets(batch.column(1), k)
@@ -153,20 +195,50 @@ def _sized(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+def _exact(near: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets A, B have 100 |A & B| >= percent |A | B|."""
-    steps = least_matches(percent / 100, miss)
-    x = reps.select(F.col("cid").alias("a"), F.col("sig").alias("x"))
-    y = reps.select(F.col("cid").alias("b"), F.col("sig").alias("y"))
-    near = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(lambda it: _prune(it, steps), "a long, b long")
     near = materialize(near.distinct())
     ids = materialize(near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct())
     sets = texts.join(_sized(ids), "cid", "left_semi").select("cid", "text").mapInArrow(lambda it: _sets(it, k), "cid long, set array<long>")
-    sets = spill(sets, "near-sets")
-    both = near.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("cid").alias("b"), F.col("set").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    checked = both.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), common.alias("c"))
-    return materialize(checked.where("c > 0").where(100 * F.col("c") >= percent * (F.col("nx") + F.col("ny") - F.col("c"))).select("a", "b").distinct())
+    sets, path = spilled(sets, "near-sets")
+    found = materialize(similar_sets(near, sets, "cid", percent))
+    drop_path(near.sparkSession, path)
+    return found
+
+
+def similar_sets(pairs: DataFrame, sets: DataFrame, key: str, percent: int) -> DataFrame:
+    both = pairs.join(sets.select(F.col(key).alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col(key).alias("b"), F.col("set").alias("y")), "b")
+    c = both.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("c")).where("c > 0")
+    return c.where(100 * F.col("c") >= percent * (F.col("nx") + F.col("ny") - F.col("c"))).select("a", "b").distinct()
+
+
+def bucket_links(members: DataFrame, sketches: DataFrame, verify_star, verify, *, bands: int, rows: int, percent: int, steps: list[tuple[int, int]]) -> DataFrame:
+    """Verified links (a, b) that join the members of buckets as all their links would.
+
+    ``members(key, cid, lead)`` has the bucket, the member and the bucket's smallest member;
+    ``sketches(cid, n, sig)`` the members' set sizes and signatures; the two functions keep
+    the pairs (a, b) that are linked.  First every member meets its lead.  Where a bucket's
+    members then lie in several components, those outside the lead's one meet the members of
+    all other components, block by block: these pairs could still join components.  They are
+    compared within blocks and only survivors become rows.
+    """
+    star = members.where("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
+    links = verify_star(star)
+    found = components(links)
+    placed = members.join(found.select(F.col("v").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    lead = found.select(F.col("v").alias("lead"), F.col("component").alias("main"))
+    placed = placed.join(lead, "lead", "left").withColumn("main", F.coalesce("main", "lead"))
+    placed = materialize(placed.select("key", "cid", "component", (F.col("component") != F.col("main")).alias("out"), (F.col("cid") == F.col("lead")).alias("is_lead")))
+    # buckets of two have been compared; in larger ones only those with outsiders are open
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.count_if("out").alias("outs")).where("m > 2 and outs > 0")
+    open_ = placed.where("not is_lead").join(sizes, "key").join(sketches, "cid")
+    block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / BLOCK)).cast("int")
+    one = F.struct("cid", "component", "n", "out", "sig")
+    blocks = materialize(open_.groupBy("key", block.alias("block"), "out").agg(F.collect_list(one).alias("items")))
+    pairs = blocks.where("out").select("key", F.col("items").alias("p")).join(blocks.select("key", F.col("items").alias("q")), "key")
+    more = pairs.select("key", "p", "q").mapInArrow(lambda it: _cross(it, bands, rows, percent, steps), "a long, b long").where("a <> b")
+    again = verify(more)
+    return materialize(links.union(again)) if again.limit(1).count() else links
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
@@ -178,25 +250,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     groups = marks.where("n > 0").groupBy("print", "n").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "sig")).alias("r"))
     reps = spill(groups.select("print", "n", F.col("r.id").alias("cid"), F.col("r.sig").alias("sig")), "near-classes")
 
-    named = reps.where("cid is not null").select("cid", "sig")
-    keys = named.mapInArrow(_bands, "key long, cid long")
+    named = reps.where("cid is not null").select("cid", "n", "sig")
+    keys = named.select("cid", "sig").mapInArrow(_bands, "key long, cid long")
     shared = keys.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("last")).where("lead < last").select("key", "lead")
-    members = spill(keys.join(shared, "key"), "near-members")
+    members, path = spilled(keys.join(shared, "key"), "near-members")
 
-    star = members.where("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-    links = _verified(star, named, texts, shingle, percent, miss)
-    found = components(links)
+    steps = least_matches(percent / 100, miss)
 
-    placed = members.join(found.select(F.col("v").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    lead = found.select(F.col("v").alias("lead"), F.col("component").alias("main"))
-    placed = materialize(placed.join(lead, "lead", "left").withColumn("main", F.coalesce("main", "lead")))
-    outside = placed.where("component <> main").select("key", F.col("cid").alias("p"), F.col("component").alias("pc"))
-    inside = placed.where("cid <> lead").select("key", F.col("cid").alias("q"), F.col("component").alias("qc"), (F.col("component") != F.col("main")).alias("out"))
-    more = outside.join(inside, "key").where("pc <> qc and p <> q and (not out or p < q)")
-    more = more.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    again = _verified(more, named, texts, shingle, percent, miss)
-    if again.limit(1).count():
-        found = components(links.union(again))
+    def star(pairs: DataFrame) -> DataFrame:
+        x = named.select(F.col("cid").alias("a"), F.col("n").alias("xn"), F.col("sig").alias("x"))
+        y = named.select(F.col("cid").alias("b"), F.col("n").alias("yn"), F.col("sig").alias("y"))
+        sized = pairs.join(x, "a").join(y, "b").where(100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
+        return _exact(sized.select("a", "b", "x", "y").mapInArrow(lambda it: _prune(it, steps), "a long, b long"), texts, shingle, percent)
+
+    links = bucket_links(members, named, star, lambda near: _exact(near, texts, shingle, percent), bands=BANDS, rows=ROWS, percent=percent, steps=steps)
+    drop_path(docs.sparkSession, path)
+    found = components(links)
 
     rows = marks.select("id", "n", "print").join(reps.select("print", "n", "cid"), ["print", "n"], "left")
     rows = rows.withColumn("cid", F.coalesce("cid", "id")).join(found.select(F.col("v").alias("cid"), "component"), "cid", "left")
