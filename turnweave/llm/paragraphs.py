@@ -7,9 +7,9 @@ are joined to their bucket's first, verified by exact Jaccard similarity of thei
 shingles, and the verified links give components, of which one paragraph stays.
 
 A passage may also stand inside a longer line, or over several short ones.  So that it is
-found there, runs of whole sentences of at least ``RUN_WORDS`` words, one from each sentence
-start of a document, are paragraphs of a second kind: they link where their word sequences
-are equal.
+found there, runs of ``RUN_WORDS`` words are paragraphs of a second kind, which link where their
+word sequences are equal.  They start at the smallest of each ``WINDOW`` neighbouring hashes of
+``GRAM`` words, so any common passage of RUN_WORDS + WINDOW - 1 words (45) has a run in common.
 
 Only hashes, places and ids are shuffled; texts come back for candidate paragraphs alone.
 A bucket's first is compared with every member, never all with all; only members that this
@@ -31,72 +31,86 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, components, drop_path, materialize, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
+from .common import arrow_limits, components, drop_path, materialize, mix64, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
 from .near_dedup import as_binary, band_keys, bucket_links, similar_sets
 
 BANDS, ROWS = 6, 2
 SHINGLE = 5
-MIN_WORDS = 20
-RUN_WORDS = 20
+MIN_WORDS = 30
+RUN_WORDS, WINDOW, GRAM = 30, 16, 4
 #: Keys are sent to every executor up to this many (8 bytes each); above, they are joined by a shuffle.
 BROADCAST_KEYS = 500_000
 _RNG = np.random.default_rng(65_537)
 _A = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32)
-_END = re.compile(r"[.!?][\"')\]]*$")
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
 def lines_of(text: str) -> Iterator[tuple[int, list[str]]]:
     """(first word, words) of each line."""
     at = 0
     for line in text.split("\n"):
-        words = line.split()
+        words = line.split() if line.isascii() and line.isprintable() else [w for w in SPACE.split(line) if w]
         if words:
             yield at, words
         at += len(words)
 
 
-def runs_of(lines: list[tuple[int, list[str]]], words: list[str]) -> Iterator[tuple[int, int]]:
-    """Runs of whole sentences: from each sentence start on, as few as make RUN_WORDS.  A
-    line's end also ends a sentence, and runs go on over it."""
-    starts = []
-    for at, line in lines:
-        starts.append(at)
-        starts += [at + i + 1 for i, w in enumerate(line[:-1]) if w[-1] in ".!?\"')]" and _END.search(w)]
-    starts.append(len(words))
-    j = 0
-    for i, s in enumerate(starts[:-1]):
-        j = max(j, i + 1)
-        while j < len(starts) and starts[j] - s < RUN_WORDS:
-            j += 1
-        if j == len(starts):
-            return
-        yield s, starts[j]
+def runs_of(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word and hash of the runs of all rows, from the hashes of their words."""
+    n = np.maximum(np.diff(firsts) - RUN_WORDS + 1, 0)  # places where a run fits
+    span = len(words) - RUN_WORDS + 1
+    none = np.zeros(0, np.int64)
+    if span < 1 or not n.any():
+        return none, none, none
+    grams = np.zeros(span, dtype=np.uint64)
+    for j in range(GRAM):
+        grams = mix64(grams + words[j : j + span] + np.uint64(j + 1))
+    picked = []
+    full = np.flatnonzero(n >= WINDOW)
+    if len(full):
+        c = n[full] - WINDOW + 1
+        start = np.repeat(firsts[full], c) + np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
+        least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
+        for lo in range(0, len(start), 1 << 18):
+            part = start[lo : lo + (1 << 18)]
+            picked.append(np.unique(least[part].argmin(axis=1) + part))
+    for i in np.flatnonzero((n > 0) & (n < WINDOW)):
+        picked.append(firsts[i] + grams[firsts[i] : firsts[i] + n[i]].argmin(keepdims=True))
+    at = np.unique(np.concatenate(picked))
+    key = np.zeros(len(at), dtype=np.uint64)
+    for j in range(RUN_WORDS):
+        key = mix64(key + words[at + j])
+    row = np.searchsorted(firsts, at, side="right") - 1
+    return row, at - firsts[row], key.view(np.int64)
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, first word, words, kind (0 line, 1 run) and a hash of the word sequence."""
     for batch in batches:
-        doc, first, size, kind, key = [], [], [], [], []
-        for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            lines = list(lines_of((t.as_py() or "").lower()))
-            words = [w for _, line in lines for w in line]
-            whole = [(at, at + len(line)) for at, line in lines if len(line) >= MIN_WORDS]
-            known = set(whole)
-            for k, spans in enumerate((whole, (r for r in runs_of(lines, words) if r not in known))):
-                for a, z in spans:
-                    doc.append(d)
-                    first.append(a)
-                    size.append(z - a)
-                    kind.append(k)
-                    key.append(xxhash.xxh3_64_intdigest(" ".join(words[a:z])) - (1 << 63))
-        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(first, pa.int64()), pa.array(size, pa.int32()), pa.array(kind, pa.int32()), pa.array(key, pa.int64())], names=["doc_id", "first_word", "n_words", "kind", "key"])
+        docs = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row, first, size, key = [], [], [], []
+        for i, t in enumerate(batch.column(1)):
+            for at, line in lines_of((t.as_py() or "").lower()):
+                if len(line) >= MIN_WORDS:
+                    row.append(i)
+                    first.append(at)
+                    size.append(len(line))
+                    key.append(sequence_hash(" ".join(line)))
+        r, at, k = runs_of(*word_hashes(*text_buffers(batch.column(1))))
+        kind = np.repeat(np.array([0, 1], dtype=np.int32), [len(row), len(r)])
+        cols = [docs[np.concatenate((row, r)).astype(np.int64)], np.concatenate((first, at)).astype(np.int64), np.concatenate((size, np.full(len(r), RUN_WORDS))).astype(np.int32), kind, np.concatenate((np.array(key, dtype=np.int64), k))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "first_word", "n_words", "kind", "key"])
+
+
+def sequence_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
 def _lines(column: pa.Array) -> tuple[list[str], np.ndarray]:
     """Normalised lines of enough words, and their sequence hashes."""
     texts = [" ".join(words) for t in column for _, words in lines_of((t.as_py() or "").lower()) if len(words) >= MIN_WORDS]
-    return texts, np.array([xxhash.xxh3_64_intdigest(s) - (1 << 63) for s in texts], dtype=np.int64)
+    return texts, np.array([sequence_hash(s) for s in texts], dtype=np.int64)
 
 
 def _signed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
