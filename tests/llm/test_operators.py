@@ -119,6 +119,20 @@ def test_sequential_pruning():
         assert low <= kept <= high
 
 
+def test_fine_sketches():
+    rng = np.random.default_rng(4)
+    for size in (3, 40, 300, 5000):
+        for j, low, high in ((0.8, 1.0, 1.0), (0.86, 1.0, 1.0), (0.5, 0.0, 1.0 if size < 40 else 0.0)):
+            both = round(2 * size * j / (1 + j) + 0.499)
+            kept = []
+            for _ in range(60):
+                u = rng.integers(0, 2**63, 2 * size - both, dtype=np.uint64)
+                a, b = u[:size], np.concatenate((u[:both], u[size:]))
+                f = near_dedup.fine_sketches(np.concatenate((a, b)), np.array([0, size, 2 * size]), near_dedup.FINE)
+                kept.append(near_dedup.finely_similar(f[:1], f[1:], np.array([2 * size]), 80)[0])
+            assert low <= np.mean(kept) <= high, (size, j)
+
+
 def test_mixing(spark, docs_dir, rows):
     got = catalog.QUERIES["op1_mix_sources"](spark, docs_dir).toPandas()
     assert len(got) == len(rows)

@@ -194,6 +194,10 @@ def shingle_hashes(words: np.ndarray, firsts: np.ndarray, k: int) -> tuple[np.nd
 # -- connected components --------------------------------------------------------------
 
 
+#: Labels are sent to every executor up to this many (16 bytes each); above, they are joined by a shuffle.
+BROADCAST_LABELS = 300_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: ``(v, component)`` for every vertex with an
     edge, the component being its smallest vertex.
@@ -203,15 +207,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     logarithm of the longest path.  Every round is a checkpoint; nothing but the count
     of changed labels reaches the driver.  Edges with a null end and loops are ignored.
     """
-    e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null and x <> y").distinct()
+    e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null and x <> y")
     both = materialize(e.union(e.select(F.col("y"), F.col("x"))).distinct())
     labels = both.groupBy(F.col("x").alias("v")).agg(F.min("y").alias("m")).select("v", F.least("v", "m").alias("component"))
     labels = materialize(labels)
+    sized = F.broadcast if labels.count() <= BROADCAST_LABELS else (lambda df: df)
     for _ in range(max_rounds):
-        seen = both.join(labels.select(F.col("v").alias("y"), F.col("component").alias("c")), "y").groupBy(F.col("x").alias("v")).agg(F.min("c").alias("c"))
-        step = labels.join(seen, "v").select("v", F.col("component").alias("old"), F.least("component", "c").alias("new"))
+        seen = both.join(sized(labels.select(F.col("v").alias("y"), F.col("component").alias("c"))), "y").select("x", "c")
+        own = labels.select(F.col("v").alias("x"), F.col("component").alias("c"), F.col("component").alias("old"))
+        step = own.unionByName(seen, allowMissingColumns=True).groupBy(F.col("x").alias("v")).agg(F.min("old").alias("old"), F.min("c").alias("new"))
         jump = labels.select(F.col("v").alias("new"), F.col("component").alias("far"))
-        nxt = step.join(jump, "new", "left").select("v", "old", F.least("new", F.coalesce("far", "new")).alias("component"))
+        nxt = step.join(sized(jump), "new", "left").select("v", "old", F.least("new", F.coalesce("far", "new")).alias("component"))
         nxt = materialize(nxt)
         changed = nxt.where("old <> component").limit(1).count()
         labels = nxt.select("v", "component")

@@ -3,15 +3,16 @@
 1. Each text becomes its set of distinct word shingles (64-bit hashes), a fingerprint of
    the set and a MinHash signature.  Documents with one and the same set form a class; the
    smallest id stands for it, so copies cost one row each from here on.
-2. Bands of the signatures are bucket keys.  In each bucket every class is compared with the
-   bucket's first, never all with all.
+2. Bands of the signatures are bucket keys.  In each bucket every class is compared with one
+   of them, drawn by hash, in a few rounds; never all with all.
 3. A candidate pair is compared in batches of signature positions.  With m of n equal and a
    uniform prior, the similarity s has P(s >= t | m, n) = P(Binomial(n + 1, t) <= m); a pair is
    given up as soon as that is below ``miss``.
 4. Survivors are verified on their full shingle sets in whole numbers.
 5. Verified links give components.  In buckets whose members are not yet all in one
-   component, those outside the first's component are compared with the members of all
-   other components, so that no link between different texts is lost to step 2.
+   component, those outside its largest one are compared with the members of all other
+   components by finer sketches and, where these leave a chance, on full sets, so that no
+   link between different texts is lost to step 2.
 
 With 24 bands of 4 rows a pair at similarity 0.8 is missed with probability 3e-6, and
 pruning adds at most about ``miss`` for each batch.
@@ -37,7 +38,11 @@ from .common import arrow_limits, components, drop_path, materialize, mix64, rea
 BANDS, ROWS = 24, 4
 BATCH = 16
 #: Members of a bucket that are compared at once.
-BLOCK = 256
+BLOCK = 128
+#: Rounds in which every member of a bucket meets one other.
+STARS = 2
+#: Bins of the sketches that tell near pairs in open buckets.
+FINE = 2048
 _RNG = np.random.default_rng(8_191)
 _A = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32)
@@ -83,6 +88,36 @@ def signatures(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def fine_sketches(s: np.ndarray, starts: np.ndarray, bins: int) -> np.ndarray:
+    """One byte per bin: each shingle falls into one bin by its hash, a bin keeps its smallest
+    and shows one of 255 marks of it, 0 if it is empty.  A small set has nearly every element
+    in a bin of its own, so its similarities come out nearly exact."""
+    rows = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    least = np.full((len(starts) - 1) * bins, np.uint64(2**64 - 1), dtype=np.uint64)
+    at = rows * bins + (s % np.uint64(bins)).astype(np.int64)
+    np.minimum.at(least, at, s)
+    out = (mix64(least) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    out[least == np.uint64(2**64 - 1)] = 0
+    return out.reshape(len(starts) - 1, bins)
+
+
+def finely_similar(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int, sigmas: float = 5.0) -> np.ndarray:
+    """Whether fine sketches leave a pair a chance to reach the threshold.  Of U elements in
+    the union n are seen, one a bin, without repetition: at similarity t the matches have mean
+    t n and variance t (1 - t) n (1 - n / U); ``sigmas`` deviations below are given up."""
+    t = percent / 100
+    n = ((x > 0) | (y > 0)).sum(axis=1)
+    m = ((x == y) & (x > 0)).sum(axis=1)
+    unseen = np.clip(1 - n / (sizes / (1 + t)), 0.02, 1)
+    return m >= t * n - sigmas * np.sqrt(t * (1 - t) * n * unseen) - 1
+
+
+def _fine(batches: Iterator[pa.RecordBatch], k: int, bins: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        s, starts = shingle_sets(batch.column(1), k)
+        yield pa.RecordBatch.from_arrays([batch.column(0), as_binary(fine_sketches(s, starts, bins))], names=["cid", "fine"])
+
+
 def as_binary(values: np.ndarray) -> pa.Array:
     """Rows of a 2-d array as binary values."""
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(values.shape[1] * values.itemsize), len(values), [None, pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
@@ -124,6 +159,11 @@ def _signature_matrix(col: pa.Array, width: int = BANDS * ROWS) -> np.ndarray:
     return raw.view(np.uint32).reshape(len(col), width)
 
 
+def _matrix(col: pa.Array, kind: type) -> np.ndarray:
+    """Binary values of one length as rows."""
+    return _raw(col)[0].view(kind).reshape(len(col), -1)
+
+
 def _raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     col = col.cast(pa.large_binary())
     if not len(col):
@@ -160,24 +200,28 @@ def _cross(batches: Iterator[pa.RecordBatch], bands: int, rows: int, percent: in
             col = batch.column(c)
             at = col.offsets.to_numpy()
             v = col.values
-            sides.append((at, *(v.field(i).to_numpy(zero_copy_only=False) for i in range(4)), v.field(4)))
+            sides.append((at, *(v.field(i).to_numpy(zero_copy_only=False) for i in range(4)), v.field(4), v.field(5)))
         first, second = [], []
-        for i, key in enumerate(batch.column(0).to_numpy()):
-            (p, pc, pn, po, ps), (q, qc, qn, qo, qs) = (
-                (*(f[at[i] : at[i + 1]] for f in (cid, comp, n, out)), _signature_matrix(sig.slice(at[i], at[i + 1] - at[i]), bands * rows)) for at, cid, comp, n, out, sig in sides
+        for r, key in enumerate(batch.column(0).to_numpy()):
+            (p, pc, pn, _, ps, pf), (q, qc, qn, qo, qs, qf) = (
+                (*(f[at[r] : at[r + 1]] for f in (cid, comp, n, out)), *(_matrix(b.slice(at[r], at[r + 1] - at[r]), t) for b, t in ((sig, np.uint32), (fine, np.uint8))))
+                for at, cid, comp, n, out, sig, fine in sides
             )
             ok = (pc[:, None] != qc[None, :]) & (~qo[None, :] | (p[:, None] < q[None, :]))
             ok &= 100 * np.minimum(pn[:, None], qn[None, :]) >= percent * np.maximum(pn[:, None], qn[None, :])
-            j, k = np.nonzero(ok)
-            for lo in range(0, len(j), 1 << 15):
-                a, b = j[lo : lo + (1 << 15)], k[lo : lo + (1 << 15)]
+            left, right = np.nonzero(ok)
+            for lo in range(0, len(left), 1 << 15):
+                a, b = left[lo : lo + (1 << 15)], right[lo : lo + (1 << 15)]
                 same = (ps[a] == qs[b]).reshape(len(a), bands, rows).all(axis=2)
                 own = band_keys(ps, bands, rows).view(np.int64) == key
                 here = np.flatnonzero(same.argmax(axis=1) == own.argmax(axis=1)[a])
                 a, b = a[here], b[here]
                 keep = _survivors(ps[a], qs[b], steps)
-                first.append(np.minimum(p[a[keep]], q[b[keep]]))
-                second.append(np.maximum(p[a[keep]], q[b[keep]]))
+                for part in np.array_split(keep, len(keep) // 2048 + 1):
+                    i, j = a[part], b[part]
+                    good = finely_similar(pf[i], qf[j], pn[i] + qn[j], percent)
+                    first.append(np.minimum(p[i[good]], q[j[good]]))
+                    second.append(np.maximum(p[i[good]], q[j[good]]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (first, second)], names=["a", "b"])
 
 
@@ -212,28 +256,39 @@ def similar_sets(pairs: DataFrame, sets: DataFrame, key: str, percent: int) -> D
     return c.where(100 * F.col("c") >= percent * (F.col("nx") + F.col("ny") - F.col("c"))).select("a", "b").distinct()
 
 
-def bucket_links(members: DataFrame, sketches: DataFrame, verify_star, verify, *, bands: int, rows: int, percent: int, steps: list[tuple[int, int]]) -> DataFrame:
+def bucket_links(members: DataFrame, sketches: DataFrame, fine, verify_star, verify, *, bands: int, rows: int, percent: int, steps: list[tuple[int, int]]) -> DataFrame:
     """Verified links (a, b) that join the members of buckets as all their links would.
 
-    ``members(key, cid, lead)`` has the bucket, the member and the bucket's smallest member;
-    ``sketches(cid, n, sig)`` the members' set sizes and signatures; the two functions keep
-    the pairs (a, b) that are linked.  First every member meets its lead.  Where a bucket's
-    members then lie in several components, those outside the lead's one meet the members of
-    all other components, block by block: these pairs could still join components.  They are
-    compared within blocks and only survivors become rows.
+    ``members(key, cid)`` has each bucket's members, ``sketches(cid, n, sig)`` their set sizes and
+    signatures; ``fine`` gives the fine sketches of some of them, the other two functions keep
+    the pairs (a, b) that are linked.  In each of
+    ``STARS`` rounds every member meets one of its bucket, drawn anew by hash, unless both are
+    in one component already.  Where a bucket's members then still lie in several components,
+    those outside its largest one meet the members of all other components, block by block:
+    these pairs could still join components.  They are compared within blocks, and only
+    survivors become rows.
     """
-    star = members.where("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-    links = verify_star(star)
-    found = components(links)
-    placed = members.join(found.select(F.col("v").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    lead = found.select(F.col("v").alias("lead"), F.col("component").alias("main"))
-    placed = placed.join(lead, "lead", "left").withColumn("main", F.coalesce("main", "lead"))
-    placed = materialize(placed.select("key", "cid", "component", (F.col("component") != F.col("main")).alias("out"), (F.col("cid") == F.col("lead")).alias("is_lead")))
+    placed, links = members.withColumn("component", F.col("cid")), None
+    for turn in range(STARS):
+        drawn = F.struct(F.xxhash64("cid", F.pmod("key", F.lit(4)), F.lit(turn)).alias("h"), "cid", "component")
+        lead = placed.groupBy("key").agg(F.min(drawn).alias("l"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key", "l")
+        pairs = placed.join(lead, "key").where("component <> l.component")
+        pairs = pairs.select(F.least("cid", "l.cid").alias("a"), F.greatest("cid", "l.cid").alias("b")).distinct()
+        new = verify_star(pairs)
+        if links is not None and not new.limit(1).count():
+            break
+        links = new if links is None else materialize(links.union(new).distinct())
+        found = components(links)
+        placed = members.join(found.select(F.col("v").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        placed = materialize(placed.select("key", "cid", "component"))
     # buckets of two have been compared; in larger ones only those with outsiders are open
-    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.count_if("out").alias("outs")).where("m > 2 and outs > 0")
-    open_ = placed.where("not is_lead").join(sizes, "key").join(sketches, "cid")
+    counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    mains = counts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("m")).where("m > 2 and top.c < m").select("key", "m", F.col("top.component").alias("main"))
+    open_ = materialize(placed.join(mains, "key"))
+    exact = fine(materialize(open_.select("cid").distinct()))
+    open_ = open_.join(sketches, "cid").join(exact, "cid").withColumn("out", F.col("component") != F.col("main"))
     block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / BLOCK)).cast("int")
-    one = F.struct("cid", "component", "n", "out", "sig")
+    one = F.struct("cid", "component", "n", "out", "sig", "fine")
     blocks = materialize(open_.groupBy("key", block.alias("block"), "out").agg(F.collect_list(one).alias("items")))
     pairs = blocks.where("out").select("key", F.col("items").alias("p")).join(blocks.select("key", F.col("items").alias("q")), "key")
     more = pairs.select("key", "p", "q").mapInArrow(lambda it: _cross(it, bands, rows, percent, steps), "a long, b long").where("a <> b")
@@ -252,7 +307,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     named = reps.where("cid is not null").select("cid", "n", "sig")
     keys = named.select("cid", "sig").mapInArrow(_bands, "key long, cid long")
-    shared = keys.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("last")).where("lead < last").select("key", "lead")
+    shared = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("key")
     members, path = spilled(keys.join(shared, "key"), "near-members")
 
     steps = least_matches(percent / 100, miss)
@@ -263,7 +318,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         sized = pairs.join(x, "a").join(y, "b").where(100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
         return _exact(sized.select("a", "b", "x", "y").mapInArrow(lambda it: _prune(it, steps), "a long, b long"), texts, shingle, percent)
 
-    links = bucket_links(members, named, star, lambda near: _exact(near, texts, shingle, percent), bands=BANDS, rows=ROWS, percent=percent, steps=steps)
+    def fine(ids: DataFrame) -> DataFrame:
+        return texts.join(_sized(ids), "cid", "left_semi").mapInArrow(lambda it: _fine(it, shingle, FINE), "cid long, fine binary").dropDuplicates(["cid"])
+
+    links = bucket_links(members, named, fine, star, lambda near: _exact(near, texts, shingle, percent), bands=BANDS, rows=ROWS, percent=percent, steps=steps)
     drop_path(docs.sparkSession, path)
     found = components(links)
 

@@ -3,7 +3,7 @@
 A document's paragraphs are its lines of at least ``MIN_WORDS`` words.  Their signatures
 are cut into ``BANDS`` bands of ``ROWS`` positions, tuned for recall: a pair at the threshold of
 0.8 misses every band with probability 0.002, one at 0.9 with 5e-5.  Colliding paragraphs
-are joined to their bucket's first, verified by exact Jaccard similarity of their word
+are joined, verified by exact Jaccard similarity of their word
 shingles, and the verified links give components, of which one paragraph stays.
 
 A passage may also stand inside a longer line, or over several short ones.  So that it is
@@ -12,8 +12,8 @@ word sequences are equal.  They start at the smallest of each ``WINDOW`` neighbo
 ``GRAM`` words, so any common passage of RUN_WORDS + WINDOW - 1 words (45) has a run in common.
 
 Only hashes, places and ids are shuffled; texts come back for candidate paragraphs alone.
-A bucket's first is compared with every member, never all with all; only members that this
-leaves in other components meet the rest, so no bucket loses a link between components.
+A bucket's members meet one of them in each of a few rounds, never all with all; only members
+that this leaves in other components meet the rest, so no link between components is lost.
 
 Nulls and edges: null, empty and short texts have no paragraphs.  Copies within one document
 alone are no repeat across documents and aren't returned.  Rows without an id are left out.
@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, components, drop_path, materialize, mix64, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
-from .near_dedup import as_binary, band_keys, bucket_links, similar_sets
+from .near_dedup import as_binary, band_keys, bucket_links, fine_sketches, similar_sets
 
 BANDS, ROWS = 6, 2
 SHINGLE = 5
+FINE = 1024
 MIN_WORDS = 30
 RUN_WORDS, WINDOW, GRAM = 30, 16, 4
 #: Keys are sent to every executor up to this many (8 bytes each); above, they are joined by a shuffle.
@@ -140,7 +141,7 @@ def _line_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.array([len(p) for p in parts], dtype=np.int64)
         off = np.concatenate((np.zeros(1, np.int64), np.cumsum(n))).astype(np.int32)
         sets = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(parts)))
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), as_binary(sig), sets], names=["cid", "n", "sig", "set"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), as_binary(sig), as_binary(fine_sketches(s, starts, FINE)), sets], names=["cid", "n", "sig", "fine", "set"])
 
 
 def _sized(keys: DataFrame) -> DataFrame:
@@ -150,15 +151,15 @@ def _sized(keys: DataFrame) -> DataFrame:
 def line_links(texts: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between sequence hashes of different but similar lines."""
     bands = texts.select("text").mapInArrow(_line_bands, "key long, cid long")
-    shared = bands.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("high")).where("lead < high").select("key", "lead")
+    shared = bands.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("key")
     members, path = spilled(bands.join(shared, "key").distinct(), "para-members")
     wanted = materialize(members.select("cid").distinct())
     holders = units.where("kind = 0").join(_sized(wanted.select(F.col("cid").alias("key"))), "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     holders = materialize(holders.select("doc_id").distinct())
-    sets = texts.join(_sized(holders), "doc_id", "left_semi").select("text").mapInArrow(_line_sets, "cid long, n long, sig binary, set array<long>")
+    sets = texts.join(_sized(holders), "doc_id", "left_semi").select("text").mapInArrow(_line_sets, "cid long, n long, sig binary, fine binary, set array<long>")
     sets, sets_path = spilled(sets.join(_sized(wanted), "cid", "left_semi").dropDuplicates(["cid"]), "para-sets")
     verify = lambda pairs: materialize(similar_sets(pairs.distinct(), sets.select("cid", "set"), "cid", percent))
-    links = bucket_links(members, sets.select("cid", "n", "sig"), verify, verify, bands=BANDS, rows=ROWS, percent=percent, steps=[])
+    links = bucket_links(members, sets.select("cid", "n", "sig"), lambda ids: sets.select("cid", "fine").join(_sized(ids), "cid", "left_semi"), verify, verify, bands=BANDS, rows=ROWS, percent=percent, steps=[])
     for p in (path, sets_path):
         drop_path(texts.sparkSession, p)
     return links
