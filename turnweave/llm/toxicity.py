@@ -5,7 +5,7 @@ that adds to these the words by which toxic texts differ.  A text is cut into wi
 one word each; a window's distance is the number of bytes by which the toxic dictionary
 compresses it better than the ordinary one.  The largest distances of a text, the shares
 of windows beyond several thresholds and its length go through a logistic calibration
-fitted on labelled texts that the dictionaries haven't seen.
+fitted on labelled texts that the dictionaries used for it haven't seen.
 
 Short windows leave a general compressor little to save, so every byte is first written as
 a code of ``CODE`` bytes: a match of a few letters then pays for its own description, and
@@ -121,22 +121,30 @@ def _distinct(texts: list[str]) -> list[str]:
     return out
 
 
-def dictionaries(positive: list[str], negative: list[str], *, words: int = 400, base: int = 300, stems: int = 200) -> tuple[bytes, bytes]:
+class Counts:
+    """How many texts have each word beginning, and how often each word occurs."""
+
+    def __init__(self, texts: list[str] = ()) -> None:
+        self.n, self.starts, self.words = len(texts), Counter(), Counter()
+        for t in texts:
+            w = words_of(t)
+            self.words.update(w)
+            self.starts.update({x[:k] for x in set(w) for k in range(3, min(len(x), 8) + 1)})
+
+    def __add__(self, other: Counts) -> Counts:
+        out = Counts()
+        out.n, out.starts, out.words = self.n + other.n, self.starts + other.starts, self.words + other.words
+        return out
+
+
+def dictionaries(positive: Counts, negative: Counts, *, words: int = 400, base: int = 300, stems: int = 200) -> tuple[bytes, bytes]:
     """Contents of the toxic and the ordinary dictionary.
 
     Word beginnings that are many times as frequent among toxic texts name the words that
     the toxic dictionary gets; the likeliest come last, nearest to what is compressed.
     """
-
-    def starts(text: str) -> set[str]:
-        return {w[:k] for w in set(words_of(text)) for k in range(3, min(len(w), 8) + 1)}
-
-    a, b = Counter(), Counter()
-    for t in positive:
-        a.update(starts(t))
-    for t in negative:
-        b.update(starts(t))
-    na, nb = len(positive) + 1, len(negative) + 1
+    a, b = positive.starts, negative.starts
+    na, nb = positive.n + 1, negative.n + 1
     least = max(3, 0.015 * na)
     ratio = {k: (a[k] + 0.2) / na * nb / (b[k] + 0.5) for k in a if a[k] >= least}
     ranked = sorted((k for k, r in ratio.items() if r > (20 if nb > 1000 else 8)), key=lambda k: (-a[k] * np.log(ratio[k]), k))
@@ -146,15 +154,9 @@ def dictionaries(positive: list[str], negative: list[str], *, words: int = 400,
             chosen = [x for x in chosen if not x.startswith(k)] + [k]
         if len(chosen) >= stems:
             break
-    found: Counter = Counter()
-    if chosen:
-        for t in positive:
-            found.update(w for w in words_of(t) if w.startswith(tuple(chosen)))
-    plain: Counter = Counter()
-    for t in negative:
-        plain.update(words_of(t)[:1500])
+    found = {w: n for w, n in positive.words.items() if w.startswith(tuple(chosen))} if chosen else {}
     pick = lambda c, n: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:n]][::-1]
-    common = b"".join(wide(w) for w in pick(plain, base)) or wide("the")
+    common = b"".join(wide(w) for w in pick(negative.words, base)) or wide("the")
     return b"".join(wide(w) for w in pick(found, words)) + common, common
 
 
@@ -175,19 +177,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndar
     return mean, scale, w
 
 
-def fit(positive: list[str], negative: list[str]) -> Model:
-    """Two thirds of the texts make the dictionaries, one third the calibration."""
+def fit(positive: list[str], negative: list[str], folds: int = 3) -> Model:
+    """Dictionaries from all texts; the calibration from the features that each fold gets
+    from the dictionaries of the others."""
     n = len(positive) + len(negative)
     if not positive or not negative:
         return Model(b"", b"", np.zeros(0), np.zeros(0), np.zeros(0), rate=len(positive) / n if n else 0.0)
     positive, negative = _distinct(positive), _distinct(negative)
-    part = lambda t, own: [x for i, x in enumerate(t) if (i % 3 == 2) != own] or t
-    toxic, plain = dictionaries(part(positive, True), part(negative, True))
-    c = Compressors(toxic, plain)
-    held = [(t, 1) for t in part(positive, False)] + [(t, 0) for t in part(negative, False)] + [("", 0)]
-    x = np.array([features(c.distances(t)) for t, _ in held])
-    mean, scale, w = _logistic(x, np.array([y for _, y in held], dtype=float))
-    return Model(toxic, plain, mean, scale, w)
+    parts = [(positive[f::folds], negative[f::folds]) for f in range(folds)]
+    counted = [(Counts(p), Counts(q)) for p, q in parts]
+    whole = lambda side, skip=-1: sum((c[side] for f, c in enumerate(counted) if f != skip), Counts())
+    x, y = [features(np.zeros(0))], [0.0]
+    for f, (p, q) in enumerate(parts):
+        # with texts too few to leave any out, all are used
+        own = [whole(side, f) if whole(side, f).n else whole(side) for side in (0, 1)]
+        c = Compressors(*dictionaries(*own))
+        for label, texts in ((1.0, p), (0.0, q)):
+            x += [features(c.distances(t)) for t in texts]
+            y += [label] * len(texts)
+    mean, scale, w = _logistic(np.array(x), np.array(y))
+    return Model(*dictionaries(whole(0), whole(1)), mean, scale, w)
 
 
 def remainder(id_col: str):
