@@ -245,3 +245,18 @@ def reference_prompt(accent: Column, tags: Column, text: Column) -> Column:
 def progressive_texts(parts: Column) -> Column:
     """The first part, the first two, and so on, each joined by spaces."""
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), " "))
+
+
+def strip_quotes(c: Column) -> Column:
+    """Without white space and quotes around a key."""
+    return F.regexp_replace(c, r"(?U)^[\s\"']+|[\s\"']+$", "")
+
+
+def model_name_error(c: Column) -> Column:
+    """Model names have a provider before a slash; null if it is there."""
+    return F.when(~F.coalesce(c.contains("/"), F.lit(False)), F.concat(F.lit("no provider in model name: "), F.coalesce(c, F.lit(""))))
+
+
+def as_list(c: Column) -> Column:
+    """A value as a list: none for null or blank."""
+    return F.when(c.isNull() | (strip(c) == ""), F.array().cast("array<string>")).otherwise(F.array(c))

@@ -93,3 +93,31 @@ def filter_or_all(rows: DataFrame, matches: Column, group: list[str] | None = No
         return m.withColumn("_any", F.max("_m").over(Window.partitionBy(*group))).where("_m or not _any").drop("_m", "_any")
     found = m.agg(F.coalesce(F.max("_m"), F.lit(False)).alias("_any"))
     return m.crossJoin(F.broadcast(found)).where("_m or not _any").drop("_m", "_any")
+
+
+def resolve_speaker(rows: DataFrame, files: DataFrame, pool: DataFrame, request: str, draw: Column, kinds: str = "wav|mp3|flac|m4a") -> DataFrame:
+    """A recording for each request: the file itself where it names one, a drawn file of the
+    folder it names, else one of the pool.  ``files`` and ``pool`` have ``path``."""
+    usable = files.where(F.col("path").rlike(rf"(?i)\.({kinds})$"))
+    known = usable.select(F.col("path").alias(request)).distinct().withColumn("_file", F.lit(True))
+    folders = usable.groupBy(F.regexp_replace("path", r"/[^/]*$", "").alias(request)).agg(F.sort_array(F.collect_set("path")).alias("_own"))
+    every = pool.agg(F.sort_array(F.collect_set("path")).alias("_pool"))
+    j = rows.join(known, request, "left").join(folders, request, "left").crossJoin(F.broadcast(every))
+    options = F.coalesce("_own", "_pool")
+    drawn = F.element_at(options, (F.pmod(draw, F.size(options).cast("long")) + 1).cast("int"))
+    return j.withColumn("recording", F.when(F.coalesce("_file", F.lit(False)), F.col(request)).otherwise(drawn)).drop("_file", "_own", "_pool")
+
+
+def with_registry(clips: DataFrame, registry: DataFrame, transcripts: DataFrame, speaker: str, path: str) -> DataFrame:
+    """Clips with their speaker's display name and their transcription; defaults where a
+    registry has no entry."""
+    out = clips.join(small(registry.select(speaker, "display_name")), speaker, "left").join(transcripts.select(path, "transcription"), path, "left")
+    return out.withColumn("display_name", F.coalesce("display_name", F.col(speaker).cast("string"))).withColumn("transcription", F.coalesce("transcription", F.lit("")))
+
+
+def zip_segments(segments: DataFrame, metadata: DataFrame, key: str, order: str, skipped: Column) -> DataFrame:
+    """Segments with the metadata entry of their place among those not skipped; skipped ones
+    keep an empty slot.  ``metadata`` has ``key`` and ``place`` (from 0)."""
+    w = Window.partitionBy(key).orderBy(order)
+    place = F.when(~skipped, F.sum(F.when(skipped, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    return segments.withColumn("place", place).join(metadata, [key, "place"], "left")

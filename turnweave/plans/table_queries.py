@@ -367,3 +367,54 @@ def plan_of_turns(spark: SparkSession, d: str) -> DataFrame:
     user = F.col("turn") % 2 == 0
     draw = lambda what: X.keyed_draw(F.lit(what), F.col("conv_id"), F.col("turn"))
     return p.select("conv_id", "turn", F.when(user, "User").otherwise("Agent").alias("speaker"), (draw("emotion") < 1 << 31).alias("with_emotion"), ((F.col("turn") > 0) & user & (draw("back") < 858_993_459)).alias("backchannel"))
+
+
+# -- references and metadata -----------------------------------------------------------
+
+
+@query(
+    r"SELECT s.s_suppkey, coalesce(n.n_name, CAST(s.s_nationkey AS VARCHAR)) AS display_name, coalesce(p.p_name, '') AS transcription FROM supplier s "
+    r"LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0) n ON s.s_nationkey = n.n_nationkey LEFT JOIN (SELECT * FROM part WHERE p_partkey % 3 = 0) p ON s.s_suppkey = p.p_partkey"
+)
+def reference_registry(spark: SparkSession, d: str) -> DataFrame:
+    clips = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    names = table(spark, d, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("display_name"))
+    said = table(spark, d, "part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("s_suppkey"), F.col("p_name").alias("transcription"))
+    return L.with_registry(clips, names, said, "s_nationkey", "s_suppkey").select("s_suppkey", "display_name", "transcription")
+
+
+@query(
+    rf"WITH {LINES}, s AS (SELECT conv_id, turn_index, role LIKE '[pause]%' AS skip, sum(CASE WHEN role LIKE '[pause]%' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY turn_index) - 1 AS k FROM lines) "
+    r"SELECT conv_id, turn_index, CASE WHEN NOT skip THEN 'wav/' || conv_id || '/' || CAST(k AS BIGINT) || '.wav' END AS audio FROM s"
+)
+def segment_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Timeline segments with the recording of their place; pauses have none."""
+    rows = lines(spark, d)
+    spoken = turn_index_no_pause(spark, d).select("conv_id", F.col("spoken_index").alias("place"))
+    path = F.concat(F.lit("wav/"), F.col("conv_id").cast("string"), F.lit("/"), F.col("place").cast("string"), F.lit(".wav"))
+    return L.zip_segments(rows, spoken.withColumn("audio", path), "conv_id", "turn_index", X.is_pause(F.col("role"))).select("conv_id", "turn_index", "audio")
+
+
+@query(
+    r"WITH f AS (SELECT 'd' || s_nationkey % 5 AS folder, 'd' || s_nationkey % 5 || '/s' || s_suppkey || CASE WHEN s_suppkey % 4 = 0 THEN '.txt' ELSE '.wav' END AS path FROM supplier), "
+    r"u AS (SELECT * FROM f WHERE path LIKE '%.wav'), o AS (SELECT folder, list_sort(list(DISTINCT path)) AS l FROM u GROUP BY folder), e AS (SELECT list_sort(list(DISTINCT path)) AS l FROM u), "
+    r"q AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'd' || c_nationkey % 5 || '/s' || c_custkey % 100 || '.wav' WHEN 1 THEN 'd' || c_nationkey % 7 ELSE 'none' END AS request FROM customer) "
+    r"SELECT c_custkey, CASE WHEN request IN (SELECT path FROM u) THEN request ELSE coalesce(o.l, e.l)[CAST(c_custkey % len(coalesce(o.l, e.l)) AS BIGINT) + 1] END AS recording FROM q LEFT JOIN o ON q.request = o.folder CROSS JOIN e"
+)
+def speaker_resolver(spark: SparkSession, d: str) -> DataFrame:
+    """A named file, a drawn file of a named folder, or one of all."""
+    s, n = F.col("s_suppkey"), (F.col("s_nationkey") % 5).cast("string")
+    files = table(spark, d, "supplier").select(F.concat(F.lit("d"), n, F.lit("/s"), s.cast("string"), F.when(s % 4 == 0, ".txt").otherwise(".wav")).alias("path"))
+    k, c = F.col("c_custkey"), F.col("c_nationkey")
+    request = F.when(k % 3 == 0, F.concat(F.lit("d"), (c % 5).cast("string"), F.lit("/s"), (k % 100).cast("string"), F.lit(".wav"))).when(k % 3 == 1, F.concat(F.lit("d"), (c % 7).cast("string"))).otherwise("none")
+    asked = table(spark, d, "customer").select("c_custkey", request.alias("request"))
+    return L.resolve_speaker(asked, files, files.where("path like '%.wav'"), "request", k).select("c_custkey", "recording")
+
+
+@query(r"SELECT p_partkey, p_brand AS key, CASE WHEN p_partkey % 2 = 0 THEN 'no provider in model name: ' || p_brand END AS error, CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE '' END AS emotions FROM part")
+def config_values(spark: SparkSession, d: str) -> DataFrame:
+    """Keys without quotes, model names checked, a value as a list."""
+    k = F.col("p_partkey")
+    name = F.when(k % 2 == 0, F.col("p_brand")).otherwise(F.concat(F.lit("lab/"), "p_brand"))
+    listed = X.as_list(F.when(k % 3 == 0, F.col("p_type")).when(k % 3 == 1, F.lit(" ")))
+    return table(spark, d, "part").select("p_partkey", X.strip_quotes(F.concat(F.lit(" \"'"), "p_brand", F.lit("'\" "))).alias("key"), X.model_name_error(name).alias("error"), F.array_join(listed, ",").alias("emotions"))
