@@ -38,7 +38,7 @@ from .common import arrow_limits, components, drop_path, materialize, mix64, rea
 BANDS, ROWS = 24, 4
 BATCH = 16
 #: Members of a bucket that are compared at once.
-BLOCK = 128
+BLOCK, GROUP = 128, 8
 #: Rounds in which every member of a bucket meets one other.
 STARS = 2
 #: Bins of the sketches that tell near pairs in open buckets.
@@ -289,8 +289,15 @@ def bucket_links(members: DataFrame, sketches: DataFrame, fine, verify_star, ver
     open_ = open_.join(sketches, "cid").join(exact, "cid").withColumn("out", F.col("component") != F.col("main"))
     block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / BLOCK)).cast("int")
     one = F.struct("cid", "component", "n", "out", "sig", "fine")
-    blocks = materialize(open_.groupBy("key", block.alias("block"), "out").agg(F.collect_list(one).alias("items")))
-    pairs = blocks.where("out").select("key", F.col("items").alias("p")).join(blocks.select("key", F.col("items").alias("q")), "key")
+    blocks = open_.groupBy("key", block.alias("block"), "out").agg(F.collect_list(one).alias("items"), F.first("m").alias("m"))
+    # groups of GROUP blocks meet as a grid, so that no task gets more than a cell of a bucket
+    cells = F.sequence(F.lit(0), F.floor((F.ceil(F.col("m") / BLOCK) - 1) / GROUP).cast("int"))
+    own = F.floor(F.col("block") / GROUP).cast("int")
+    blocks = materialize(blocks.select("key", "out", "items", own.alias("g"), cells.alias("cells")))
+    n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = blocks.where("out").select("key", F.col("g").alias("i"), F.explode("cells").alias("j"), F.col("items").alias("p")).repartition(n, "key", "i", "j")
+    q = blocks.select("key", F.explode("cells").alias("i"), F.col("g").alias("j"), F.col("items").alias("q")).repartition(n, "key", "i", "j")
+    pairs = p.join(q, ["key", "i", "j"])
     more = pairs.select("key", "p", "q").mapInArrow(lambda it: _cross(it, bands, rows, percent, steps), "a long, b long").where("a <> b")
     again = verify(more)
     return materialize(links.union(again)) if again.limit(1).count() else links
