@@ -90,7 +90,7 @@ def stream_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     clash = spill(clash, "dedup-clashes")
     if clash.limit(1).count():
         part = texts.join(clash, "digest")
-        best = F.min(F.struct((-F.length("text")).alias("chars"), F.col("id").isNull().alias("no_id"), "id", F.col("_at").alias("at")))
+        best = F.min(F.struct((-F.coalesce(F.length("text"), F.lit(0))).alias("chars"), F.col("id").isNull().alias("no_id"), "id", F.col("_at").alias("at")))
         split = part.groupBy("digest", "bytes").agg(best.alias("best"), F.count(F.lit(1)).alias("n"))
         again = part.join(split, ["digest", "bytes"]).select(
             "digest", "id", F.col("_at").alias("at"), F.sha2("bytes", 256).alias("sha"), "n", F.col("best.id").alias("keep_id"), (F.col("_at") == F.col("best.at")).alias("kept")
