@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Columns of progress lines and of synthesis manifests.  Fixed values.
 PROGRESS_COLUMNS = "ts rank world gpu topic txt dialogue_id status returncode done total generated skipped failed elapsed_sec log_or_err".split()
 MANIFEST_COLUMNS = ["speaker_prompt_audio_filename", "speaker_prompt_text_transcription", "content_to_synthesize", "output_audio_filename"]
 
