@@ -39,7 +39,9 @@ def located(docs: DataFrame) -> DataFrame:
 def _state(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
     """Runs the stream over the digests in ``path`` until no file is left; its state as a table."""
     where = scratch(spark, "dedup-state")
-    own = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    # without preallocated files, which cost megabytes a partition however little state it has
+    rocks = "spark.sql.streaming.stateStore.rocksdb"
+    own = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, f"{rocks}.changelogCheckpointing.enabled": "true", f"{rocks}.allowFAllocate": "false"}
     before = {k: spark.conf.get(k, None) for k in own}
     for k, v in own.items():
         spark.conf.set(k, v)
