@@ -303,6 +303,26 @@ def test_paragraphs(spark, docs_dir, rows):
     assert len(near - set(got["doc_id"])) <= 0.01 * len(near)
 
 
+def test_paragraphs_over_lines(spark):
+    """A wrapped near copy, and an exact one inside longer lines, whose whole passage is given."""
+    rng = np.random.default_rng(6)
+    new = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    wrapped = lambda w: "\n".join(" ".join(w[k : k + 12]) for k in range(0, len(w), 12))
+    rows, want = [], set()
+    for k in range(20):
+        near, exact = new(60), new(50)
+        other = near[:30] + ["changed"] + near[31:]
+        for i, w in ((4 * k, near), (4 * k + 1, other)):
+            rows.append((i, wrapped(new(24) + w + new(17))))
+            want.add((i, 24, 60))
+        for i in (4 * k + 2, 4 * k + 3):
+            rows.append((i, " ".join(new(40) + exact + new(33))))
+            want.add((i, 40, 50))
+    got = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.n_words) for r in got} == want and len(got) == len(want)
+    assert all(r.n_places == 2 and r.component_id == r.doc_id - r.doc_id % 2 and r.kept == (r.doc_id % 2 == 0) for r in got)
+
+
 def test_vectors(spark, tmp_path):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((900, 16)).astype(np.float32)

@@ -6,10 +6,17 @@ are cut into ``BANDS`` bands of ``ROWS`` positions, tuned for recall: a pair at
 are joined, verified by exact Jaccard similarity of their word
 shingles, and the verified links give components, of which one paragraph stays.
 
-A passage may also stand inside a longer line, or over several short ones.  So that it is
-found there, runs of ``RUN_WORDS`` words are paragraphs of a second kind, which link where their
-word sequences are equal.  They start at the smallest of each ``WINDOW`` neighbouring hashes of
-``GRAM`` words, so any common passage of RUN_WORDS + WINDOW - 1 words (45) has a run in common.
+A passage may also stand inside a longer line, or over several short ones.  Such passages are
+paragraphs of a second kind, found over the whole word sequence whatever its lines.  Equal runs
+of ``RUN_WORDS`` words at the smallest of each ``WINDOW`` neighbouring hashes of ``GRAM`` words are
+seeds: any common stretch of RUN_WORDS + WINDOW - 1 words (24) has one.  Passages of at
+least ``MIN_WORDS`` words at the threshold have such a stretch, as each changed word costs up to
+five of their shingles.  From a seed the two texts are followed to both sides, over places where
+up to ``GAP`` words differ, as far as the exact Jaccard similarity stays at the threshold; the
+passages so found link where MIN_WORDS or more remain on both sides.  A text's seed meets the
+first text that has it, the first that also has the ``SIDE`` words before it, and the first that
+has those after it; texts that resemble only others of such a group, at none of their common
+seeds its first, are not compared.
 
 Only hashes, places and ids are shuffled; texts come back for candidate paragraphs alone.
 A bucket's members meet one of them in each of a few rounds, never all with all; only members
@@ -28,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, components, drop_path, materialize, mix64, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
@@ -38,7 +45,8 @@ BANDS, ROWS = 6, 2
 SHINGLE = 5
 FINE = 1024
 MIN_WORDS = 30
-RUN_WORDS, WINDOW, GRAM = 30, 16, 4
+RUN_WORDS, WINDOW, GRAM = 16, 9, 4
+SIDE, GAP = 4, 8
 #: Keys are sent to every executor up to this many (8 bytes each); above, they are joined by a shuffle.
 BROADCAST_KEYS = 500_000
 _RNG = np.random.default_rng(65_537)
@@ -86,8 +94,16 @@ def runs_of(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row, at - firsts[row], key.view(np.int64)
 
 
+def text_keys(words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """A hash of each row's word sequence."""
+    n = np.diff(firsts)
+    place = np.arange(len(words), dtype=np.uint64) - np.repeat(firsts[:-1], n).astype(np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(words + mix64(place + np.uint64(1))), dtype=np.uint64)))
+    return mix64(sums[firsts[1:]] - sums[firsts[:-1]] + n.astype(np.uint64)).view(np.int64)
+
+
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, first word, words, kind (0 line, 1 run) and a hash of the word sequence."""
+    """doc_id, first word, words, kind (0 line, 1 whole text) and a hash of the word sequence."""
     for batch in batches:
         docs = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         row, first, size, key = [], [], [], []
@@ -98,12 +114,127 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     first.append(at)
                     size.append(len(line))
                     key.append(sequence_hash(" ".join(line)))
-        r, at, k = runs_of(*word_hashes(*text_buffers(batch.column(1))))
-        kind = np.repeat(np.array([0, 1], dtype=np.int32), [len(row), len(r)])
-        cols = [docs[np.concatenate((row, r)).astype(np.int64)], np.concatenate((first, at)).astype(np.int64), np.concatenate((size, np.full(len(r), RUN_WORDS))).astype(np.int32), kind, np.concatenate((np.array(key, dtype=np.int64), k))]
+        words, firsts = word_hashes(*text_buffers(batch.column(1)))
+        kind = np.repeat(np.array([0, 1], dtype=np.int32), [len(row), len(docs)])
+        cols = [np.concatenate((docs[np.array(row, dtype=np.int64)], docs)), np.concatenate((first, np.zeros(len(docs)))).astype(np.int64), np.concatenate((size, np.diff(firsts))).astype(np.int32), kind, np.concatenate((np.array(key, dtype=np.int64), text_keys(words, firsts)))]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "first_word", "n_words", "kind", "key"])
 
 
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash of the text, first word and hash of each seed, and its hashes with the words before and after."""
+    for batch in batches:
+        words, firsts = word_hashes(*text_buffers(batch.column(0)))
+        row, at, key = runs_of(words, firsts)
+        n, place = np.diff(firsts)[row], firsts[row] + at
+        before = after = key.view(np.uint64)
+        last = max(len(words) - 1, 0)
+        for j in range(SIDE):
+            before = mix64(before + words[np.maximum(place - 1 - j, 0)] + np.uint64(1))
+            after = mix64(after + words[np.minimum(place + RUN_WORDS + j, last)] + np.uint64(2))
+        before = pa.array(before.view(np.int64), mask=at < SIDE)
+        after = pa.array(after.view(np.int64), mask=at + RUN_WORDS + SIDE > n)
+        yield pa.RecordBatch.from_arrays([pa.array(text_keys(words, firsts)[row]), pa.array(at.astype(np.int32)), pa.array(key), before, after], names=["tid", "at", "key", "before", "after"])
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash of each text, and the text."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(text_keys(*word_hashes(*text_buffers(batch.column(0))))), batch.column(0)], names=["tid", "text"])
+
+
+def follow(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray, i: int, j: int) -> list[tuple[int, int, int]]:
+    """(start, start, words) of the equal stretches from (i, j) on; between two of them up to
+    ``GAP`` words of either side differ, and ``SHINGLE`` words or more are equal again."""
+    out = []
+    while True:
+        n = min(len(x) - i, len(y) - j)
+        size, step = 0, 64
+        while size < n:
+            m = min(step, n - size)
+            off = np.flatnonzero(x[i + size : i + size + m] != y[j + size : j + size + m])
+            if len(off):
+                size += int(off[0])
+                break
+            size, step = size + m, step * 4
+        out.append((i, j, size))
+        i, j = i + size, j + size
+        p, q = np.nonzero(gx[i : i + GAP + 1, None] == gy[None, j : j + GAP + 1])
+        if not len(p):
+            return out
+        best = np.lexsort((np.abs(p - q), p + q))[0]
+        i, j = i + int(p[best]), j + int(q[best])
+
+
+def chain(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray, i: int, j: int) -> tuple[list[tuple[int, int, int]], int]:
+    """Equal stretches to both sides of the equal words at (i, j), and which of them holds these."""
+    right = follow(x, y, gx, gy, i, j)
+    left = [(len(x) - a - n, len(y) - b - n, n) for a, b, n in follow(x[::-1], y[::-1], gx[::-1], gy[::-1], len(x) - i, len(y) - j)]
+    return left[:0:-1] + [(left[0][0], left[0][1], left[0][2] + right[0][2])] + right[1:], len(left) - 1
+
+
+def common_passage(parts: list[tuple[int, int, int]], seed: int, gx: np.ndarray, gy: np.ndarray, percent: int) -> tuple[int, int, int, int] | None:
+    """First word and words in both texts of the longest passage found by taking the shorter
+    end off the stretches until the similarity is at the threshold; the seed's stretch stays."""
+    lo, hi = 0, len(parts)
+    same = sum(max(0, n - SHINGLE + 1) for _, _, n in parts)
+    whole = True
+    while True:
+        a, b = parts[lo][0], parts[lo][1]
+        m, n = parts[hi - 1][0] + parts[hi - 1][2] - a, parts[hi - 1][1] + parts[hi - 1][2] - b
+        if min(m, n) < MIN_WORDS:
+            return None
+        # shingles of the stretches tell whether counting sets is worth while; the sets decide
+        if whole or lo == seed == hi - 1 or 100 * same >= percent * (m + n - 2 * SHINGLE + 2 - same):
+            p, q = np.unique(gx[a : a + m - SHINGLE + 1]), np.unique(gy[b : b + n - SHINGLE + 1])
+            c = len(np.intersect1d(p, q, assume_unique=True))
+            if 100 * c >= percent * (len(p) + len(q) - c):
+                return a, m, b, n
+        whole = False
+        if lo < seed and (hi - 1 == seed or parts[lo][2] <= parts[hi - 1][2]):
+            same -= max(0, parts[lo][2] - SHINGLE + 1)
+            lo += 1
+        else:
+            same -= max(0, parts[hi - 1][2] - SHINGLE + 1)
+            hi -= 1
+
+
+def pair_passages(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray, seeds: list[tuple[int, int]], percent: int) -> list[tuple[int, int, int, int]]:
+    """The passages around the common seeds of two texts, from the hashes of their words and shingles."""
+    found: list[tuple[int, int, int, int]] = []
+    known: dict[int, list[tuple[int, int, list[tuple[int, int, int]], int]]] = {}  # stretches by how far they are shifted
+    tried: set[tuple[int, int]] = set()
+    for i, j in sorted(seeds):
+        if any(u <= i < u + m and v <= j < v + n for u, m, v, n in found):
+            continue
+        held = next(((parts, k) for lo, hi, parts, k in known.get(j - i, ()) if lo <= i < hi), None)
+        if held is None:
+            held = chain(x, y, gx, gy, i, j)
+            for k, (u, v, n) in enumerate(held[0]):
+                known.setdefault(v - u, []).append((u, u + n, held[0], k))
+        parts, k = held
+        if parts[k][:2] in tried:
+            continue
+        tried.add(parts[k][:2])
+        passage = common_passage(parts, k, gx, gy, percent)
+        if passage:
+            found.append(passage)
+    return found
+
+
+def _passages(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The common passages of pairs of texts (a, b) around their common seeds."""
+    for batch in batches:
+        rows = []
+        words = [word_hashes(*text_buffers(batch.column(c))) for c in (3, 4)]
+        grams = [shingle_hashes(*w, SHINGLE) for w in words]
+        for r, (a, b, at) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)):
+            x, y = (w[f[r] : f[r + 1]] for w, f in words)
+            gx, gy = (g[f[r] : f[r + 1]] for g, f in grams)
+            rows += [(a, b, *p) for p in pair_passages(x, y, gx, gy, [(p["i"], p["j"]) for p in at], percent)]
+        names = ["a", "b", "a_first", "a_words", "b_first", "b_words"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=names)
+
+
 def sequence_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
@@ -165,21 +296,59 @@ def line_links(texts: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     return links
 
 
+def passages(texts: DataFrame, percent: int) -> DataFrame:
+    """Passages over any lines that two texts share: ``tid`` (hash of the text), ``first_word``,
+    ``n_words``, ``key`` (of the passage) and ``component``."""
+    only = texts.select("text")
+    seeds = only.mapInArrow(_seeds, "tid long, at int, key long, before long, after long")
+    shared = materialize(seeds.select("tid", "key").groupBy("key").agg(F.min("tid").alias("low"), F.max("tid").alias("high")).where("low < high").select("key"))
+    seeds, path = spilled(seeds.join(_sized(shared), "key", "left_semi").distinct(), "para-seeds")
+    pairs = None
+    for name in ("key", "before", "after"):
+        own = seeds.where(F.col(name).isNotNull()).select(F.col(name).alias("k"), "tid", "at")
+        lead = own.groupBy("k").agg(F.min(F.struct("tid", "at")).alias("l"))
+        met = own.join(lead, "k").where("tid <> l.tid").select(F.col("l.tid").alias("a"), F.col("tid").alias("b"), F.col("l.at").alias("i"), F.col("at").alias("j"))
+        pairs = met if pairs is None else pairs.union(met)
+    pairs, pairs_path = spilled(pairs.groupBy("a", "b").agg(F.collect_set(F.struct("i", "j")).alias("at")), "para-pairs")
+    wanted = materialize(pairs.select(F.col("a").alias("tid")).union(pairs.select("b")).distinct())
+    keyed, text_path = spilled(only.mapInArrow(_keyed, "tid long, text string").join(_sized(wanted), "tid", "left_semi").dropDuplicates(["tid"]), "para-texts")
+    both = pairs.join(keyed.select(F.col("tid").alias("a"), F.col("text").alias("s")), "a").join(keyed.select(F.col("tid").alias("b"), F.col("text").alias("t")), "b")
+    found = both.select("a", "b", "at", "s", "t").mapInArrow(lambda it: _passages(it, percent), "a long, b long, a_first long, a_words long, b_first long, b_words long")
+    found = materialize(found)
+    for p in (path, pairs_path, text_path):
+        drop_path(texts.sparkSession, p)
+    named = lambda c: F.xxhash64(c, f"{c}_first", f"{c}_words")
+    side = lambda c: found.select(F.col(c).alias("tid"), F.col(f"{c}_first").alias("first_word"), F.col(f"{c}_words").alias("n_words"), named(c).alias("key"))
+    spans = materialize(side("a").union(side("b")).distinct())
+    # places of one text that are nearly the same are one passage
+    w = Window.partitionBy("tid").orderBy("first_word", "n_words")
+    last = F.lag(F.struct("first_word", "n_words", "key")).over(w)
+    near = spans.withColumn("o", last).where("o is not null").withColumn("end", F.col("o.first_word") + F.col("o.n_words"))
+    common = F.least(F.col("end"), F.col("first_word") + F.col("n_words")) - F.col("first_word") - SHINGLE + 1
+    near = near.withColumn("c", common).where(100 * F.col("c") >= percent * (F.col("n_words") + F.col("o.n_words") - 2 * SHINGLE + 2 - F.col("c")))
+    links = found.select(named("a").alias("a"), named("b").alias("b")).union(near.select(F.col("key").alias("a"), F.col("o.key").alias("b")))
+    return spans.join(components(links).withColumnRenamed("v", "key"), "key")
+
+
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """One row per paragraph that repeats across documents: ``doc_id, first_word, n_words,
     kind, component_id`` (the smallest document of its component), ``n_places`` (paragraphs
     in the component), ``kept`` (the paragraph that stays)."""
-    arrow_limits(docs.sparkSession)
+    arrow_limits(docs.sparkSession, 500)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
     units = spill(texts.mapInArrow(_units, "doc_id long, first_word long, n_words int, kind int, key long"), "para-units")
     found = components(line_links(texts, units, percent))
-    again = units.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key")
-    keys = materialize(again.union(found.select("v")).distinct())
-    placed = units.join(_sized(keys), "key", "left_semi").join(found.select(F.col("v").alias("key"), "component"), "key", "left")
-    placed = spill(placed.withColumn("component", F.coalesce("component", "key")), "para-placed")
+    again = units.where(f"n_words >= {MIN_WORDS}").groupBy("kind", "key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("kind", "key")
+    keys = materialize(again.union(found.select(F.lit(0), "v")).distinct())
+    placed = units.join(_sized(keys), ["kind", "key"], "left_semi").join(found.select(F.lit(0).alias("kind"), F.col("v").alias("key"), "component"), ["kind", "key"], "left")
+    placed = placed.select("doc_id", "first_word", "n_words", "kind", F.coalesce("component", "key").alias("component"))
+    inside = passages(texts, percent)
+    holders = units.where("kind = 1").select("doc_id", F.col("key").alias("tid")).distinct()
+    inside = inside.join(holders, "tid").select("doc_id", "first_word", F.col("n_words").cast("int").alias("n_words"), F.lit(1).alias("kind"), "component").distinct()
+    placed = spill(placed.union(inside), "para-placed")
     place = F.struct("doc_id", "first_word", "n_words")
-    groups = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last"), F.min(place).alias("stays"), F.count(F.lit(1)).alias("n_places")).where("component_id < last")
-    rows = placed.join(groups, "component")
+    groups = placed.groupBy("kind", "component").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last"), F.min(place).alias("stays"), F.count(F.lit(1)).alias("n_places")).where("component_id < last")
+    rows = placed.join(groups, ["kind", "component"])
     return rows.select("doc_id", "first_word", "n_words", "kind", "component_id", "n_places", (place == F.col("stays")).alias("kept"))
 
 
