@@ -276,6 +276,16 @@ def test_toxicity_edges():
     assert ((s >= 0) & (s <= 1)).all() and s[1] >= s[2]
 
 
+def test_toxic_beginnings_at_any_size():
+    """A beginning that 18 of 330 toxic and 9 of 2,300 ordinary texts have is toxic; one that 3 and 2 have isn't sure to be."""
+    texts = lambda n, *given: [f"{' '.join(w for w, m in given if i < m)} other{i % 50} words" for i in range(n)]
+    for k in (1, 3):
+        a = toxicity.Counts(texts(330 * k, ("qzvwx", 18 * k), ("jkplm", 3)))
+        b = toxicity.Counts(texts(2300 * k, ("qzvwx", 9 * k), ("jkplm", 2)))
+        toxic, plain = toxicity.dictionaries(a, b, base=20)
+        assert toxicity.wide("qzvwx") in toxic[: -len(plain)] and toxicity.wide("jkplm") not in toxic[: -len(plain)]
+
+
 def test_paragraphs(spark, docs_dir, rows):
     got = catalog.QUERIES["op5_paragraph_dedup"](spark, docs_dir).toPandas()
     words = {}

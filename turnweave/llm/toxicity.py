@@ -39,6 +39,8 @@ from .common import arrow_limits, read
 STRIP = " .,;:!?|*$%&#()[]{}<>\"'`~_-+=/\\"
 LEVEL, CODE, MEMO = 9, 4, 400_000
 THRESHOLD = 0.3
+#: A word beginning is toxic if LEAST toxic texts have it and the bound SURE deviations below its ratio is over BAR.
+LEAST, SURE, BAR = 3, 1.64, 6
 STEPS = (2, 4, 6, 8, 10, 12)
 _rng = np.random.default_rng(131_071)
 _CODES = [bytes(_rng.integers(1, 256, size=CODE, dtype=np.uint8)) for _ in range(256)]
@@ -140,14 +142,16 @@ class Counts:
 def dictionaries(positive: Counts, negative: Counts, *, words: int = 400, base: int = 300, stems: int = 200) -> tuple[bytes, bytes]:
     """Contents of the toxic and the ordinary dictionary.
 
-    Word beginnings that are many times as frequent among toxic texts name the words that
-    the toxic dictionary gets; the likeliest come last, nearest to what is compressed.
+    Word beginnings that are surely ``BAR`` times as frequent among toxic texts, by a lower
+    confidence bound whatever the number of texts, name the words that the toxic dictionary
+    gets; the likeliest come last, nearest to what is compressed.
     """
     a, b = positive.starts, negative.starts
     na, nb = positive.n + 1, negative.n + 1
-    least = max(3, 0.015 * na)
-    ratio = {k: (a[k] + 0.2) / na * nb / (b[k] + 0.5) for k in a if a[k] >= least}
-    ranked = sorted((k for k, r in ratio.items() if r > (20 if nb > 1000 else 8)), key=lambda k: (-a[k] * np.log(ratio[k]), k))
+    ratio = {k: (a[k] + 0.2) / na * nb / (b[k] + 0.5) for k in a if a[k] >= LEAST}
+    # the spread of a logarithm of two counts' ratio
+    sure = lambda k, r: np.log(r) - SURE * np.sqrt(1 / (a[k] + 0.2) + 1 / (b[k] + 0.5)) > np.log(BAR)
+    ranked = sorted((k for k, r in ratio.items() if sure(k, r)), key=lambda k: (-a[k] * np.log(ratio[k]), k))
     chosen: list[str] = []
     for k in ranked:
         if not any(k.startswith(x) for x in chosen):
