@@ -165,6 +165,19 @@ def test_alignment_finds_starts(spark, sf_dir):
     assert len(pdf) and (pdf["start"] == pdf["found"]).mean() > 0.99
 
 
+def test_mixes_have_all_frames(spark, sf_dir):
+    from turnweave.plans.audio_queries import align_backfill, stereo_mix
+    from turnweave.plans.inputs import turns
+
+    want = {r.conv_id: r.n for r in turns(spark, sf_dir).groupBy("conv_id").agg(F.sum("frames").alias("n")).collect()}
+    got = stereo_mix(spark, sf_dir).collect()
+    assert {r.conv_id: r.frames for r in got} == want and all(r.wav_bytes == 44 + 4 * r.frames for r in got)
+    # an overlap starts before the end of what precedes it, so the starts are those of the effects mix
+    starts = {(r.conv_id, r.seg): r.start for r in align_backfill(spark, sf_dir).collect()}
+    first = {c: n for c, n in turns(spark, sf_dir).where("turn_index = 0").select("conv_id", "frames").collect()}
+    assert any(starts[c, 1] != n for c, n in first.items() if (c, 1) in starts)
+
+
 def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "c.tsv").write_text('path\tsentence\tgender\na.mp3\t"say ""hi"""\tmale\nb.mp3\t \tx\n')
     c = R.read_corpus(spark, str(tmp_path / "c.tsv"))

@@ -82,31 +82,32 @@ def align(mix: np.ndarray, part: np.ndarray, expected: int, reach: int) -> int:
     return lo + int(np.abs(corr).argmax())
 
 
-def stereo_mixes(segments: DataFrame, scale: int = 100) -> DataFrame:
+def stereo_mixes(segments: DataFrame) -> DataFrame:
     """Length, energy per channel and digest of each dialogue's clean mix; ``segments`` has
     ``conv_id, seg, is_user, frames``.  A dialogue's waveform is built in one task."""
     ship(segments.sparkSession)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seg")
-        mix = clean_mix([(bool(u), tone(int(s), int(n) // scale)) for u, s, n in zip(pdf["is_user"], pdf["seg"], pdf["frames"], strict=True)])
+        mix = clean_mix([(bool(u), tone(int(s), int(n))) for u, s, n in zip(pdf["is_user"], pdf["seg"], pdf["frames"], strict=True)])
         e = (mix.astype(np.float64) ** 2).sum(1)
         return pd.DataFrame({"conv_id": [pdf["conv_id"].iloc[0]], "frames": [mix.shape[1]], "left_energy": [round(float(e[0]), 3)], "right_energy": [round(float(e[1]), 3)], "wav_bytes": [len(encode_wav(mix, 24_000))]})
 
     return segments.groupBy("conv_id").applyInPandas(one, "conv_id long, frames long, left_energy double, right_energy double, wav_bytes long")
 
 
-def alignments(segments: DataFrame, reach: int = 480, scale: int = 100) -> DataFrame:
-    """Backfilled start of each segment in its dialogue's mix, found by correlation around
-    an expected start that is off by up to ``reach``."""
+def alignments(segments: DataFrame, reach: int = 48_000) -> DataFrame:
+    """Backfilled start of each segment in its speaker's channel of the effects mix, found by
+    correlation within ``reach`` frames (2 s) of an expected start that is off by up to half of it.
+    ``segments`` has ``conv_id, seg, is_user, frames, start_frame, total_frames``."""
     ship(segments.sparkSession)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seg")
-        rng = [np.random.default_rng(int(s)).standard_normal(max(32, int(n) // scale)).astype(np.float32) for s, n in zip(pdf["seg"], pdf["frames"], strict=True)]
-        starts = np.concatenate(([0], np.cumsum([len(x) for x in rng])[:-1]))
-        mix = np.concatenate(rng)
-        found = [align(mix, x, int(s) + (17 * i) % reach - reach // 2, reach) for i, (s, x) in enumerate(zip(starts, rng, strict=True))]
+        rng = [np.random.default_rng(int(s)).standard_normal(int(n)).astype(np.float32) for s, n in zip(pdf["seg"], pdf["frames"], strict=True)]
+        starts, users = pdf["start_frame"].to_numpy(), pdf["is_user"].to_numpy()
+        mix = effects_mix([(bool(u), int(s), x) for u, s, x in zip(users, starts, rng, strict=True)], int(pdf["total_frames"].iloc[0]))
+        found = [align(mix[0 if u else 1], x, int(s) + (1_700 * i) % reach - reach // 2, reach) for i, (u, s, x) in enumerate(zip(users, starts, rng, strict=True))]
         return pd.DataFrame({"conv_id": pdf["conv_id"].to_numpy(), "seg": pdf["seg"].to_numpy(), "start": starts, "found": found})
 
     return segments.groupBy("conv_id").applyInPandas(one, "conv_id long, seg long, start long, found long")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import audio as A
 from ..functions import text as X
+from ..operators import timeline as TL
 from .inputs import lines
+from .table_queries import segments
 
 SQL: dict[str, str] = {}
 
@@ -21,7 +23,9 @@ def stereo_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def align_backfill(spark: SparkSession, d: str) -> DataFrame:
-    return A.alignments(_segments(spark, d))
+    """In the mix with overlaps and pauses, at all frames."""
+    s = _segments(spark, d).join(segments(spark, d).select("conv_id", "seg", "gap", "shift", "hold"), ["conv_id", "seg"])
+    return A.alignments(s.join(TL.effects_timeline(s), ["conv_id", "seg"]))
 
 
 Q = {f.__name__: f for f in (stereo_mix, align_backfill)}
