@@ -129,10 +129,18 @@ def test_fine_sketches():
                 u = rng.integers(0, 2**63, 2 * size - both, dtype=np.uint64)
                 a, b = u[:size], np.concatenate((u[:both], u[size:]))
                 f = near_dedup.fine_sketches(np.concatenate((a, b)), np.array([0, size, 2 * size]), near_dedup.FINE)
-                kept.append(near_dedup.finely_similar(f[:1], f[1:], np.array([2 * size]), 80)[0])
+                good, sure = near_dedup.finely_similar(f[:1], f[1:], np.array([2 * size]), 80)
+                assert good[0] or not sure[0]
+                assert not sure[0] or both >= 0.8 * (2 * size - both)
+                kept.append(good[0])
             assert low <= np.mean(kept) <= high, (size, j)
 
 
+def test_needed_links():
+    first, second, sure = np.array([1, 1, 1, 1, 1, 2, 3]), np.array([2, 2, 2, 3, 3, 4, 4]), np.array([False, True, True, False, False, True, False])
+    assert sorted(near_dedup._needed(first, second, sure)) == [1, 3, 4, 5, 6] and not near_dedup._needed(first[:0], second[:0], sure[:0])
+
+
 def test_mixing(spark, docs_dir, rows):
     got = catalog.QUERIES["op1_mix_sources"](spark, docs_dir).toPandas()
     assert len(got) == len(rows)
@@ -333,6 +341,39 @@ def test_paragraphs_over_lines(spark):
     assert all(r.n_places == 2 and r.component_id == r.doc_id - r.doc_id % 2 and r.kept == (r.doc_id % 2 == 0) for r in got)
 
 
+def test_paragraphs_around_a_common_phrase(spark):
+    """Two texts share 34 words around a phrase that many texts have in other surroundings."""
+    rng = np.random.default_rng(8)
+    new = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    rows, want = [], set()
+    for k in range(40):
+        phrase, left, right = new(20), new(7), new(7)
+        rows += [(10 * k + j, " ".join(new(30) + phrase + new(30))) for j in range(6)]
+        for j in (6, 7):
+            rows.append((10 * k + j, " ".join(new(25) + left + phrase + right + new(20))))
+            want.add((10 * k + j, 25, 34))
+    got = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.n_words) for r in got} == want
+
+
+def test_winnowing():
+    rng = np.random.default_rng(9)
+    words = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    words[300:500] = words[300]
+    firsts = np.array([0, 10, 26, 45, 45, 300, 520, 900])
+    row, at, key = paragraphs.runs_of(words, firsts)
+    r, w, g = paragraphs.RUN_WORDS, paragraphs.WINDOW, paragraphs.GRAM
+    want = set()
+    for i, (a, z) in enumerate(zip(firsts[:-1], firsts[1:], strict=True)):
+        h = np.zeros(max(0, z - a - r + 1), dtype=np.uint64)
+        for j in range(g):
+            h = paragraphs.mix64(h + words[a + j : a + j + len(h)] + np.uint64(j + 1))
+        for s in range(max(1, len(h) - w + 1) if len(h) else 0):
+            part = h[s : s + w]
+            want |= {(i, s + int(k)) for k in (np.flatnonzero(part == part.min()) if len(h) >= w else [part.argmin()])}
+    assert set(zip(row.tolist(), at.tolist(), strict=True)) == want and len(key) == len(want)
+
+
 def test_vectors(spark, tmp_path):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((900, 16)).astype(np.float32)

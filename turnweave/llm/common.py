@@ -20,12 +20,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Arrow batches stop at this size; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+
+
 def arrow_limits(spark: SparkSession, rows: int = 2000) -> None:
     """Keeps Arrow batches small, so that long texts don't add up in a Python worker, and
     gives the workers this package."""
     ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -202,25 +207,31 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """Connected components of an edge list: ``(v, component)`` for every vertex with an
     edge, the component being its smallest vertex.
 
-    Labels start at the smallest neighbour; each round takes the smallest label among
-    the neighbours and jumps to the label's own label, so that the rounds grow with the
-    logarithm of the longest path.  Every round is a checkpoint; nothing but the count
-    of changed labels reaches the driver.  Edges with a null end and loops are ignored.
+    Labels start at the smallest neighbour.  In each round a vertex takes the smallest label
+    among its neighbours, hands it to its old label too, and jumps to its label's own label, so that
+    the rounds grow with the logarithm of the longest path.  Every round is a table in the shared
+    folder, read back with its true size (the sizes Spark estimates for nested joins multiply);
+    nothing but whether labels changed reaches the driver.  Edges with a null end and loops
+    are ignored.
     """
+    spark = edges.sparkSession
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null and x <> y")
-    both = materialize(e.union(e.select(F.col("y"), F.col("x"))).distinct())
+    both, both_path = spilled(e.union(e.select(F.col("y"), F.col("x"))).distinct(), "edges")
     labels = both.groupBy(F.col("x").alias("v")).agg(F.min("y").alias("m")).select("v", F.least("v", "m").alias("component"))
-    labels = materialize(labels)
+    labels, path = spilled(labels, "labels")
     sized = F.broadcast if labels.count() <= BROADCAST_LABELS else (lambda df: df)
     for _ in range(max_rounds):
         seen = both.join(sized(labels.select(F.col("v").alias("y"), F.col("component").alias("c"))), "y").select("x", "c")
         own = labels.select(F.col("v").alias("x"), F.col("component").alias("c"), F.col("component").alias("old"))
         step = own.unionByName(seen, allowMissingColumns=True).groupBy(F.col("x").alias("v")).agg(F.min("old").alias("old"), F.min("c").alias("new"))
+        hand = step.select(F.explode(F.array(F.struct("v", "old", "new"), F.struct(F.col("old").alias("v"), F.lit(None).cast("long").alias("old"), "new"))).alias("s"))
+        step = hand.groupBy("s.v").agg(F.min("s.old").alias("old"), F.min("s.new").alias("new"))
         jump = labels.select(F.col("v").alias("new"), F.col("component").alias("far"))
         nxt = step.join(sized(jump), "new", "left").select("v", "old", F.least("new", F.coalesce("far", "new")).alias("component"))
-        nxt = materialize(nxt)
-        changed = nxt.where("old <> component").limit(1).count()
-        labels = nxt.select("v", "component")
-        if not changed:
+        nxt, new_path = spilled(nxt, "labels")
+        drop_path(spark, path)
+        labels, path = nxt.select("v", "component"), new_path
+        if not nxt.where("old <> component").limit(1).count():
+            drop_path(spark, both_path)
             return labels
     raise RuntimeError("components did not settle")

@@ -4,7 +4,7 @@
    the set and a MinHash signature.  Documents with one and the same set form a class; the
    smallest id stands for it, so copies cost one row each from here on.
 2. Bands of the signatures are bucket keys.  In each bucket every class is compared with one
-   of them, drawn by hash, in a few rounds; never all with all.
+   of them, drawn by hash, in rounds that go on while they link many; never all with all.
 3. A candidate pair is compared in batches of signature positions.  With m of n equal and a
    uniform prior, the similarity s has P(s >= t | m, n) = P(Binomial(n + 1, t) <= m); a pair is
    given up as soon as that is below ``miss``.
@@ -39,10 +39,12 @@ BANDS, ROWS = 24, 4
 BATCH = 16
 #: Members of a bucket that are compared at once.
 BLOCK, GROUP = 128, 8
-#: Rounds in which every member of a bucket meets one other.
-STARS = 2
+#: Rounds in which every member of a bucket meets one other; the most for large buckets, and what each then has to bring.
+STARS, MOST_STARS, LESS = 2, 12, 0.1
 #: Bins of the sketches that tell near pairs in open buckets.
 FINE = 2048
+#: Sets of at most this many elements go along with the sketches.
+SHORT = 512
 _RNG = np.random.default_rng(8_191)
 _A = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32)
@@ -101,21 +103,29 @@ def fine_sketches(s: np.ndarray, starts: np.ndarray, bins: int) -> np.ndarray:
     return out.reshape(len(starts) - 1, bins)
 
 
-def finely_similar(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int, sigmas: float = 5.0) -> np.ndarray:
-    """Whether fine sketches leave a pair a chance to reach the threshold.  Of U elements in
-    the union n are seen, one a bin, without repetition: at similarity t the matches have mean
-    t n and variance t (1 - t) n (1 - n / U); ``sigmas`` deviations below are given up."""
+def finely_similar(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int, sigmas: float = 5.0) -> tuple[np.ndarray, np.ndarray]:
+    """Whether fine sketches leave a pair a chance to reach the threshold, and whether they leave it
+    none to miss it.  Of U elements in the union n are seen, one a bin, without repetition: at
+    similarity t the matches have mean t n and variance t (1 - t) n (1 - n / U); ``sigmas``
+    deviations tell.  Marks agree by chance in one of 255 bins."""
     t = percent / 100
     n = ((x > 0) | (y > 0)).sum(axis=1)
     m = ((x == y) & (x > 0)).sum(axis=1)
     unseen = np.clip(1 - n / (sizes / (1 + t)), 0.02, 1)
-    return m >= t * n - sigmas * np.sqrt(t * (1 - t) * n * unseen) - 1
+    spread = sigmas * np.sqrt(t * (1 - t) * n * unseen) + 1
+    return m >= t * n - spread, m - (n - m) / 32 >= t * n + spread
+
+
+def short_sets(s: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The sorted sets of rows of at most ``SHORT`` elements, null for others."""
+    parts = [np.unique(s[a:z]).view(np.int64) if z - a <= SHORT else None for a, z in zip(starts[:-1], starts[1:], strict=True)]
+    return pa.array(parts, pa.list_(pa.int64()))
 
 
 def _fine(batches: Iterator[pa.RecordBatch], k: int, bins: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         s, starts = shingle_sets(batch.column(1), k)
-        yield pa.RecordBatch.from_arrays([batch.column(0), as_binary(fine_sketches(s, starts, bins))], names=["cid", "fine"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), as_binary(fine_sketches(s, starts, bins)), short_sets(s, starts)], names=["cid", "fine", "exact"])
 
 
 def as_binary(values: np.ndarray) -> pa.Array:
@@ -193,36 +203,77 @@ def _prune(batches: Iterator[pa.RecordBatch], steps: list[tuple[int, int]]) -> I
 
 def _cross(batches: Iterator[pa.RecordBatch], bands: int, rows: int, percent: int, steps: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
     """Pairs between blocks of one bucket's outsiders and members that may be linked: of
-    different components, similar size, no earlier band in common, and not given up."""
+    different components, similar size, no earlier band in common, and not given up.  Sketches
+    that leave a doubt give way to the sets themselves, where these are short."""
     for batch in batches:
         sides = []
         for c in (1, 2):
             col = batch.column(c)
             at = col.offsets.to_numpy()
             v = col.values
-            sides.append((at, *(v.field(i).to_numpy(zero_copy_only=False) for i in range(4)), v.field(4), v.field(5)))
-        first, second = [], []
+            sides.append((at, *(v.field(i).to_numpy(zero_copy_only=False) for i in range(4)), *(v.field(i) for i in (4, 5, 6))))
+        found = []
         for r, key in enumerate(batch.column(0).to_numpy()):
-            (p, pc, pn, _, ps, pf), (q, qc, qn, qo, qs, qf) = (
-                (*(f[at[r] : at[r + 1]] for f in (cid, comp, n, out)), *(_matrix(b.slice(at[r], at[r + 1] - at[r]), t) for b, t in ((sig, np.uint32), (fine, np.uint8))))
-                for at, cid, comp, n, out, sig, fine in sides
+            (p, pc, pn, _, ps, pf, px), (q, qc, qn, qo, qs, qf, qx) = (
+                (*(f[at[r] : at[r + 1]] for f in (cid, comp, n, out)), *(_matrix(b.slice(at[r], at[r + 1] - at[r]), t) for b, t in ((sig, np.uint32), (fine, np.uint8))), exact.slice(at[r], at[r + 1] - at[r]))
+                for at, cid, comp, n, out, sig, fine, exact in sides
             )
             ok = (pc[:, None] != qc[None, :]) & (~qo[None, :] | (p[:, None] < q[None, :]))
             ok &= 100 * np.minimum(pn[:, None], qn[None, :]) >= percent * np.maximum(pn[:, None], qn[None, :])
             left, right = np.nonzero(ok)
+            band = (band_keys(ps, bands, rows).view(np.int64) == key).argmax(axis=1)
+            links = []
             for lo in range(0, len(left), 1 << 15):
                 a, b = left[lo : lo + (1 << 15)], right[lo : lo + (1 << 15)]
                 same = (ps[a] == qs[b]).reshape(len(a), bands, rows).all(axis=2)
-                own = band_keys(ps, bands, rows).view(np.int64) == key
-                here = np.flatnonzero(same.argmax(axis=1) == own.argmax(axis=1)[a])
+                here = np.flatnonzero(same.argmax(axis=1) == band[a])
                 a, b = a[here], b[here]
                 keep = _survivors(ps[a], qs[b], steps)
                 for part in np.array_split(keep, len(keep) // 2048 + 1):
                     i, j = a[part], b[part]
-                    good = finely_similar(pf[i], qf[j], pn[i] + qn[j], percent)
-                    first.append(np.minimum(p[i[good]], q[j[good]]))
-                    second.append(np.maximum(p[i[good]], q[j[good]]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (first, second)], names=["a", "b"])
+                    good, sure = finely_similar(pf[i], qf[j], pn[i] + qn[j], percent)
+                    links.append((i[good], j[good], sure[good]))
+            if not links:
+                continue
+            i, j, sure = (np.concatenate([x[k] for x in links]) for k in range(3))
+            good = sure.copy()
+            for k in np.flatnonzero(~sure):
+                x, y = px[int(i[k])].values, qx[int(j[k])].values
+                good[k] = x is None or y is None or _similar(x.to_numpy(), y.to_numpy(), percent)
+                sure[k] = good[k] and x is not None and y is not None
+            i, j, sure = i[good], j[good], sure[good]
+            found.append((np.minimum(p[i], q[j]), np.maximum(p[i], q[j]), pc[i], qc[j], sure))
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if found:
+            a, b, *rest = (np.concatenate([x[k] for x in found]) for k in range(5))
+            at = _needed(*rest)
+            a, b = a[at], b[at]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b)], names=["a", "b"])
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    c = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * c >= percent * (len(x) + len(y) - c)
+
+
+def _needed(first: np.ndarray, second: np.ndarray, sure: np.ndarray) -> list[int]:
+    """Which candidate links between components could join any: of the sure ones a spanning
+    forest, and the others between components that it leaves apart."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    out = []
+    for k in np.argsort(~sure, kind="stable").tolist():
+        a, b = root(int(first[k])), root(int(second[k]))
+        if a != b:
+            out.append(k)
+            if sure[k]:
+                parent[a] = b
+    return out
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -260,41 +311,59 @@ def bucket_links(members: DataFrame, sketches: DataFrame, fine, verify_star, ver
     """Verified links (a, b) that join the members of buckets as all their links would.
 
     ``members(key, cid)`` has each bucket's members, ``sketches(cid, n, sig)`` their set sizes and
-    signatures; ``fine`` gives the fine sketches of some of them, the other two functions keep
-    the pairs (a, b) that are linked.  In each of
-    ``STARS`` rounds every member meets one of its bucket, drawn anew by hash, unless both are
-    in one component already.  Where a bucket's members then still lie in several components,
-    those outside its largest one meet the members of all other components, block by block:
-    these pairs could still join components.  They are compared within blocks, and only
-    survivors become rows.
+    signatures; ``fine`` gives the fine sketches (and short sets) of some of them, the other two functions keep
+    the pairs (a, b) that are linked.  In each round every member of an open bucket, one whose
+    members lie in several components, meets one of its bucket, drawn anew by hash, unless both are
+    in one component already.  After ``STARS`` rounds only buckets of over ``BLOCK`` members go on, as long as
+    a round brings ``LESS`` of their members outside their largest component into it.  Where buckets are then
+    still open, those outside their largest component meet the members of all other
+    components, block by block: these pairs could still join components.  They are compared
+    within blocks, and only survivors become rows.
     """
-    placed, links = members.withColumn("component", F.col("cid")), None
-    for turn in range(STARS):
-        drawn = F.struct(F.xxhash64("cid", F.pmod("key", F.lit(4)), F.lit(turn)).alias("h"), "cid", "component")
-        lead = placed.groupBy("key").agg(F.min(drawn).alias("l"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key", "l")
-        pairs = placed.join(lead, "key").where("component <> l.component")
-        pairs = pairs.select(F.least("cid", "l.cid").alias("a"), F.greatest("cid", "l.cid").alias("b")).distinct()
-        new = verify_star(pairs)
-        if links is not None and not new.limit(1).count():
-            break
+
+    def largest(placed: DataFrame) -> DataFrame:
+        """Open buckets with their members' number and largest component; buckets of two have been compared."""
+        counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+        tops = counts.groupBy("key").agg(F.max_by("component", "c").alias("main"), F.max("c").alias("most"), F.sum("c").alias("m"))
+        return tops.where("m > 2 and most < m").select("key", "m", "main", (F.col("m") - F.col("most")).alias("outside"))
+
+    def now(rows: DataFrame, found: DataFrame) -> DataFrame:
+        known = found.select(F.col("v").alias("cid"), "component")
+        return rows.select("key", "cid").join(known, "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("component"))
+
+    active, links, rest = members.select("key", "cid", F.col("cid").alias("component"), F.lit(None).cast("long").alias("before")), None, None
+    for turn in range(MOST_STARS):
+        drawn = F.xxhash64("cid", F.pmod("key", F.lit(4)), F.lit(turn))
+        lead = active.groupBy("key").agg(F.min_by("cid", drawn).alias("lead"), F.min_by("component", drawn).alias("own"))
+        pairs = active.join(lead, "key").where("component <> own")
+        new = verify_star(pairs.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct())
         links = new if links is None else materialize(links.union(new).distinct())
         found = components(links)
-        placed = members.join(found.select(F.col("v").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        placed = materialize(placed.select("key", "cid", "component"))
-    # buckets of two have been compared; in larger ones only those with outsiders are open
-    counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    mains = counts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("m")).where("m > 2 and top.c < m").select("key", "m", F.col("top.component").alias("main"))
-    open_ = materialize(placed.join(mains, "key"))
+        placed = now(active, found)
+        open_ = materialize(placed.join(largest(placed), "key"))
+        if turn >= STARS - 1:
+            last = active.select("key", "before").distinct()
+            on = materialize(open_.select("key", "m", "outside").distinct().join(last, "key").where((F.col("m") > BLOCK) & (F.col("before").isNull() | (F.col("outside") <= (1 - LESS) * F.col("before")))).select("key"))
+            stays = open_.join(on, "key", "left_anti").select("key", "cid")
+            rest = stays if rest is None else rest.union(stays)
+            open_ = open_.join(on, "key", "left_semi")
+        active = open_.select("key", "cid", "component", F.col("outside").alias("before"))
+        if turn >= STARS - 1 and not active.limit(1).count():
+            break
+    else:
+        rest = rest.union(active.select("key", "cid"))
+    placed = materialize(now(rest, found))
+    open_ = materialize(placed.join(largest(placed), "key"))
     exact = fine(materialize(open_.select("cid").distinct()))
     open_ = open_.join(sketches, "cid").join(exact, "cid").withColumn("out", F.col("component") != F.col("main"))
     block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / BLOCK)).cast("int")
-    one = F.struct("cid", "component", "n", "out", "sig", "fine")
+    one = F.struct("cid", "component", "n", "out", "sig", "fine", "exact")
     blocks = open_.groupBy("key", block.alias("block"), "out").agg(F.collect_list(one).alias("items"), F.first("m").alias("m"))
     # groups of GROUP blocks meet as a grid, so that no task gets more than a cell of a bucket
     cells = F.sequence(F.lit(0), F.floor((F.ceil(F.col("m") / BLOCK) - 1) / GROUP).cast("int"))
     own = F.floor(F.col("block") / GROUP).cast("int")
     blocks = materialize(blocks.select("key", "out", "items", own.alias("g"), cells.alias("cells")))
-    n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     p = blocks.where("out").select("key", F.col("g").alias("i"), F.explode("cells").alias("j"), F.col("items").alias("p")).repartition(n, "key", "i", "j")
     q = blocks.select("key", F.explode("cells").alias("i"), F.col("g").alias("j"), F.col("items").alias("q")).repartition(n, "key", "i", "j")
     pairs = p.join(q, ["key", "i", "j"])
@@ -326,7 +395,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return _exact(sized.select("a", "b", "x", "y").mapInArrow(lambda it: _prune(it, steps), "a long, b long"), texts, shingle, percent)
 
     def fine(ids: DataFrame) -> DataFrame:
-        return texts.join(_sized(ids), "cid", "left_semi").mapInArrow(lambda it: _fine(it, shingle, FINE), "cid long, fine binary").dropDuplicates(["cid"])
+        return texts.join(_sized(ids), "cid", "left_semi").mapInArrow(lambda it: _fine(it, shingle, FINE), "cid long, fine binary, exact array<long>").dropDuplicates(["cid"])
 
     links = bucket_links(members, named, fine, star, lambda near: _exact(near, texts, shingle, percent), bands=BANDS, rows=ROWS, percent=percent, steps=steps)
     drop_path(docs.sparkSession, path)

@@ -13,10 +13,12 @@ seeds: any common stretch of RUN_WORDS + WINDOW - 1 words (24) has one.  Passage
 least ``MIN_WORDS`` words at the threshold have such a stretch, as each changed word costs up to
 five of their shingles.  From a seed the two texts are followed to both sides, over places where
 up to ``GAP`` words differ, as far as the exact Jaccard similarity stays at the threshold; the
-passages so found link where MIN_WORDS or more remain on both sides.  A text's seed meets the
-first text that has it, the first that also has the ``SIDE`` words before it, and the first that
-has those after it; texts that resemble only others of such a group, at none of their common
-seeds its first, are not compared.
+passages so found link where MIN_WORDS or more remain on both sides.  Only the parts of texts
+around shared seeds, with ``MARGIN`` words more, are brought together.  A text's seed meets the
+first text that has it.  Seeds that then stand in no passage of their text meet once more, under
+finer keys: the seed with several numbers of words before and after it (``AROUND``), and the MinHash
+bands of the ``SIDE`` words on either side.  Texts with an equal stretch of 33 words are thus
+always linked; a near passage could only be missed where the first text differs under all keys.
 
 Only hashes, places and ids are shuffled; texts come back for candidate paragraphs alone.
 A bucket's members meet one of them in each of a few rounds, never all with all; only members
@@ -29,40 +31,41 @@ Rows that share an id are one document.  Extra columns play no part.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, components, drop_path, materialize, mix64, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
-from .near_dedup import as_binary, band_keys, bucket_links, fine_sketches, similar_sets
+from .near_dedup import SHORT, as_binary, band_keys, bucket_links, fine_sketches, similar_sets
 
 BANDS, ROWS = 6, 2
 SHINGLE = 5
 FINE = 1024
 MIN_WORDS = 30
 RUN_WORDS, WINDOW, GRAM = 16, 9, 4
-SIDE, GAP = 4, 8
+SIDE, GAP = 32, 8
+#: Words before and after a seed that make up finer keys: any stretch of 33 equal words that holds it has one of 30, any of 27 one of 24.
+AROUND = ((14, 0), (10, 4), (7, 7), (4, 10), (0, 14), (8, 0), (4, 4), (0, 8))
+#: Words of a text that are looked at beyond its first and last shared seed.
+MARGIN = 64
 #: Keys are sent to every executor up to this many (8 bytes each); above, they are joined by a shuffle.
-BROADCAST_KEYS = 500_000
+BROADCAST_KEYS = 100_000
 _RNG = np.random.default_rng(65_537)
 _A = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32)
-SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
-def lines_of(text: str) -> Iterator[tuple[int, list[str]]]:
-    """(first word, words) of each line."""
-    at = 0
-    for line in text.split("\n"):
-        words = line.split() if line.isascii() and line.isprintable() else [w for w in SPACE.split(line) if w]
-        if words:
-            yield at, words
-        at += len(words)
+def _slide(x: np.ndarray, width: int, least) -> np.ndarray:
+    """``least`` (minimum or maximum) of every ``width`` neighbours, by doubling."""
+    out, size = x, 1
+    while 2 * size <= width:
+        out, size = least(out[:-size], out[size:]), 2 * size
+    n = len(x) - width + 1
+    return least(out[:n], out[width - size : width - size + n]) if size < width else out
 
 
 def runs_of(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,10 +83,10 @@ def runs_of(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if len(full):
         c = n[full] - WINDOW + 1
         start = np.repeat(firsts[full], c) + np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
-        least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-        for lo in range(0, len(start), 1 << 18):
-            part = start[lo : lo + (1 << 18)]
-            picked.append(np.unique(least[part].argmin(axis=1) + part))
+        # the smallest of each window within a row, and the places that are it for some window
+        least = np.zeros(span + WINDOW - 1, dtype=np.uint64)
+        least[start + WINDOW - 1] = _slide(grams, WINDOW, np.minimum)[start]
+        picked.append(np.flatnonzero(_slide(least, WINDOW, np.maximum) == grams))
     for i in np.flatnonzero((n > 0) & (n < WINDOW)):
         picked.append(firsts[i] + grams[firsts[i] : firsts[i] + n[i]].argmin(keepdims=True))
     at = np.unique(np.concatenate(picked))
@@ -102,44 +105,118 @@ def text_keys(words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return mix64(sums[firsts[1:]] - sums[firsts[:-1]] + n.astype(np.uint64)).view(np.int64)
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, first word, words, kind (0 line, 1 whole text) and a hash of the word sequence."""
-    for batch in batches:
-        docs = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        row, first, size, key = [], [], [], []
-        for i, t in enumerate(batch.column(1)):
-            for at, line in lines_of((t.as_py() or "").lower()):
-                if len(line) >= MIN_WORDS:
-                    row.append(i)
-                    first.append(at)
-                    size.append(len(line))
-                    key.append(sequence_hash(" ".join(line)))
-        words, firsts = word_hashes(*text_buffers(batch.column(1)))
-        kind = np.repeat(np.array([0, 1], dtype=np.int32), [len(row), len(docs)])
-        cols = [np.concatenate((docs[np.array(row, dtype=np.int64)], docs)), np.concatenate((first, np.zeros(len(docs)))).astype(np.int64), np.concatenate((size, np.diff(firsts))).astype(np.int32), kind, np.concatenate((np.array(key, dtype=np.int64), text_keys(words, firsts)))]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "first_word", "n_words", "kind", "key"])
-
-
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash of the text, first word and hash of each seed, and its hashes with the words before and after."""
+class Lines:
+    """The words of a column's texts, and its lines of enough words: row, first word, words,
+    and a hash of their word sequence."""
+
+    def __init__(self, column: pa.Array) -> None:
+        split = pc.split_pattern(column.cast(pa.large_string()), "\n")
+        at = split.offsets.to_numpy().astype(np.int64)
+        self.words, firsts = word_hashes(*text_buffers(split.values.slice(at[0], at[-1] - at[0])))
+        at -= at[0]
+        self.firsts = firsts[at]  # of each text
+        n = np.diff(firsts)
+        long = np.flatnonzero(n >= MIN_WORDS)
+        self.row = np.searchsorted(at, long, side="right") - 1
+        self.first = firsts[long] - self.firsts[self.row]
+        self.n = n[long]
+        self.edges = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.n)))
+        place = np.arange(int(self.edges[-1])) + np.repeat(firsts[long] - self.edges[:-1], self.n)
+        self.own = self.words[place]
+        self.keys = text_keys(self.own, self.edges)
+
+    def signed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingle hashes, each line's first, and signatures."""
+        s, starts = shingle_hashes(self.own, self.edges, SHINGLE)
+        return s, starts, _signature(s, starts)
+
+
+def _signature(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    h = (s >> np.uint64(32)).astype(np.uint32)
+    return np.stack([np.minimum.reduceat(h * _A[k] + _B[k], starts[:-1]) if len(h) else np.zeros(0, np.uint32) for k in range(BANDS * ROWS)], axis=1)
+
+
+def _listed(starts: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), values)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each text its id, words, a hash of its word sequence, its lines with their bands, and its seeds."""
     for batch in batches:
-        words, firsts = word_hashes(*text_buffers(batch.column(0)))
-        row, at, key = runs_of(words, firsts)
-        n, place = np.diff(firsts)[row], firsts[row] + at
-        before = after = key.view(np.uint64)
-        last = max(len(words) - 1, 0)
-        for j in range(SIDE):
-            before = mix64(before + words[np.maximum(place - 1 - j, 0)] + np.uint64(1))
-            after = mix64(after + words[np.minimum(place + RUN_WORDS + j, last)] + np.uint64(2))
-        before = pa.array(before.view(np.int64), mask=at < SIDE)
-        after = pa.array(after.view(np.int64), mask=at + RUN_WORDS + SIDE > n)
-        yield pa.RecordBatch.from_arrays([pa.array(text_keys(words, firsts)[row]), pa.array(at.astype(np.int32)), pa.array(key), before, after], names=["tid", "at", "key", "before", "after"])
+        x = Lines(batch.column(1))
+        bands = band_keys(x.signed()[2], BANDS, ROWS).reshape(-1).view(np.int64)
+        fields = [pa.array(x.first.astype(np.int32)), pa.array(x.n.astype(np.int32)), pa.array(x.keys), _listed(np.arange(len(x.n) + 1) * BANDS, pa.array(bands))]
+        lines = pa.StructArray.from_arrays(fields, names=["first_word", "n_words", "key", "bands"])
+        row, at, key = runs_of(x.words, x.firsts)
+        seeds = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array(key)], names=["at", "key"])
+        rows = np.arange(len(batch) + 1)
+        cols = [batch.column(0), pa.array(text_keys(x.words, x.firsts)), pa.array(np.diff(x.firsts).astype(np.int32)), _listed(np.searchsorted(x.row, rows), lines), _listed(np.searchsorted(row, rows), seeds)]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "tid", "n_words", "lines", "seeds"])
+
+
+MARKS = "doc_id long, tid long, n_words int, lines array<struct<first_word:int,n_words:int,key:long,bands:array<long>>>, seeds array<struct<at:int,key:long>>"
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash of each text, and the text."""
+    """Id, hash and text of rows; those that a task has seen aren't repeated."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        keys = text_keys(*word_hashes(*text_buffers(batch.column(1)))).tolist()
+        new = []
+        for i, k in enumerate(zip(batch.column(0).to_pylist(), keys, strict=True)):
+            if k not in seen:
+                seen.add(k)
+                new.append(i)
+        if len(seen) > 1_000_000:
+            seen.clear()
+        at = pa.array(new, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(keys, pa.int64()).take(at), batch.column(1).take(at)], names=["doc_id", "tid", "text"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of a text around its shared seeds."""
+    for batch in batches:
+        tid, seg, first, part = [], [], [], []
+        for t, text, parts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            words = text.as_py().encode().split()  # bytes split at [\x20\x09-\x0D]
+            for p in parts:
+                lo = max(0, p["lo"] - MARGIN)
+                tid.append(t)
+                seg.append(p["seg"])
+                first.append(lo)
+                part.append(b" ".join(words[lo : p["hi"] + RUN_WORDS + MARGIN]))
+        yield pa.RecordBatch.from_arrays([pa.array(tid, pa.int64()), pa.array(seg, pa.int64()), pa.array(first, pa.int32()), pa.array(part, pa.binary()).cast(pa.string())], names=["tid", "seg", "first", "part"])
+
+
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Further keys of seeds, from the words around them: the words ``AROUND`` them, and the bands of the words on either side."""
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(text_keys(*word_hashes(*text_buffers(batch.column(0))))), batch.column(0)], names=["tid", "text"])
+        words, firsts = word_hashes(*text_buffers(batch.column(3)))
+        lists = batch.column(4)
+        edges = lists.offsets.to_numpy()
+        own = lists.values.slice(edges[0], edges[-1] - edges[0])
+        row = np.repeat(np.arange(len(batch)), np.diff(edges))
+        at, seed = (own.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        place = firsts[row] + at - batch.column(2).to_numpy()[row]
+        key, who = [], []
+        for before, after in AROUND:
+            some = np.flatnonzero((place - before >= firsts[row]) & (place + RUN_WORDS + after <= firsts[row + 1]))
+            k = np.full(len(some), before, dtype=np.uint64)
+            for j in range(-before, RUN_WORDS + after):
+                k = mix64(k + words[place[some] + j])
+            key.append(k)
+            who.append(some)
+        for lo, hi in ((np.maximum(place - SIDE, firsts[row]), place), (place + RUN_WORDS, np.minimum(place + RUN_WORDS + SIDE, firsts[row + 1]))):
+            some = np.flatnonzero(hi - lo >= SHINGLE)
+            n = (hi - lo)[some]
+            ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
+            s, starts = shingle_hashes(words[np.arange(int(ends[-1])) + np.repeat(lo[some] - ends[:-1], n)], ends, SHINGLE)
+            bands = band_keys(_signature(s, starts), BANDS, ROWS) ^ seed[some].view(np.uint64)[:, None]
+            key.append(mix64(bands).reshape(-1))
+            who.append(np.repeat(some, BANDS))
+        who = np.concatenate(who)
+        cols = [pa.array(np.concatenate(key).view(np.int64)), *(pa.array(batch.column(i).to_numpy()[row[who]]) for i in range(2)), pa.array(at[who])]
+        yield pa.RecordBatch.from_arrays(cols, names=["key", "tid", "seg", "at"])
 
 
 def follow(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray, i: int, j: int) -> list[tuple[int, int, int]]:
@@ -183,8 +260,11 @@ def common_passage(parts: list[tuple[int, int, int]], seed: int, gx: np.ndarray,
         m, n = parts[hi - 1][0] + parts[hi - 1][2] - a, parts[hi - 1][1] + parts[hi - 1][2] - b
         if min(m, n) < MIN_WORDS:
             return None
-        # shingles of the stretches tell whether counting sets is worth while; the sets decide
-        if whole or lo == seed == hi - 1 or 100 * same >= percent * (m + n - 2 * SHINGLE + 2 - same):
+        if lo == seed == hi - 1:
+            return a, m, b, n  # the words are equal
+        # shingles of the stretches tell whether counting sets is worth while; the sets decide (at
+        # first with some allowance, as shingles may also recur elsewhere)
+        if 100 * same >= (percent - 20 * whole) * (m + n - 2 * SHINGLE + 2 - same):
             p, q = np.unique(gx[a : a + m - SHINGLE + 1]), np.unique(gy[b : b + n - SHINGLE + 1])
             c = len(np.intersect1d(p, q, assume_unique=True))
             if 100 * c >= percent * (len(p) + len(q) - c):
@@ -222,104 +302,125 @@ def pair_passages(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray,
 
 
 def _passages(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """The common passages of pairs of texts (a, b) around their common seeds."""
+    """The common passages of pairs of parts of texts (a, b) around their common seeds."""
     for batch in batches:
         rows = []
-        words = [word_hashes(*text_buffers(batch.column(c))) for c in (3, 4)]
+        words = [word_hashes(*text_buffers(batch.column(c))) for c in (5, 6)]
         grams = [shingle_hashes(*w, SHINGLE) for w in words]
-        for r, (a, b, at) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)):
+        for r, (a, b, at, u, v) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:5]), strict=True)):
             x, y = (w[f[r] : f[r + 1]] for w, f in words)
             gx, gy = (g[f[r] : f[r + 1]] for g, f in grams)
-            rows += [(a, b, *p) for p in pair_passages(x, y, gx, gy, [(p["i"], p["j"]) for p in at], percent)]
+            found = pair_passages(x, y, gx, gy, [(p["i"] - u, p["j"] - v) for p in at], percent)
+            rows += [(a, b, i + u, m, j + v, n) for i, m, j, n in found]
         names = ["a", "b", "a_first", "a_words", "b_first", "b_words"]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=names)
 
 
-def sequence_hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
-
-
-def _lines(column: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Normalised lines of enough words, and their sequence hashes."""
-    texts = [" ".join(words) for t in column for _, words in lines_of((t.as_py() or "").lower()) if len(words) >= MIN_WORDS]
-    return texts, np.array([sequence_hash(s) for s in texts], dtype=np.int64)
-
-
-def _signed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shingle hashes, each line's first, and signatures."""
-    s, starts = shingle_hashes(*word_hashes(*text_buffers(pa.array(texts, pa.large_string()))), SHINGLE)
-    h = (s >> np.uint64(32)).astype(np.uint32)
-    return s, starts, np.stack([np.minimum.reduceat(h * _A[k] + _B[k], starts[:-1]) for k in range(BANDS * ROWS)], axis=1)
-
-
-def _line_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(band key, sequence hash) of each line."""
-    for batch in batches:
-        texts, keys = _lines(batch.column(0))
-        if texts:
-            bands = band_keys(_signed(texts)[2], BANDS, ROWS)
-            yield pa.RecordBatch.from_arrays([pa.array(bands.reshape(-1).view(np.int64)), pa.array(np.repeat(keys, BANDS))], names=["key", "cid"])
-
-
 def _line_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequence hash, signature and sorted shingle hashes of each line."""
+    """Sequence hash, signature and sorted shingle hashes of each line; those that a task has seen aren't repeated."""
+    seen: set[int] = set()
     for batch in batches:
-        texts, keys = _lines(batch.column(0))
-        if not texts:
+        x = Lines(batch.column(0))
+        s, starts, sig = x.signed()
+        new = []
+        for i, k in enumerate(x.keys.tolist()):
+            if k not in seen:
+                seen.add(k)
+                new.append(i)
+        if len(seen) > 1_000_000:
+            seen.clear()
+        if not new:
             continue
-        s, starts, sig = _signed(texts)
-        parts = [np.unique(s[starts[i] : starts[i + 1]]).view(np.int64) for i in range(len(texts))]
+        parts = [np.unique(s[starts[i] : starts[i + 1]]).view(np.int64) for i in new]
         n = np.array([len(p) for p in parts], dtype=np.int64)
-        off = np.concatenate((np.zeros(1, np.int64), np.cumsum(n))).astype(np.int32)
-        sets = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(parts)))
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), as_binary(sig), as_binary(fine_sketches(s, starts, FINE)), sets], names=["cid", "n", "sig", "fine", "set"])
+        sets = _listed(np.concatenate((np.zeros(1, np.int64), np.cumsum(n))), pa.array(np.concatenate(parts)))
+        for lo in range(0, len(new), 2000):  # a fine sketch has FINE bytes
+            some = np.array(new[lo : lo + 2000])
+            edges = np.concatenate((np.zeros(1, np.int64), np.cumsum(starts[some + 1] - starts[some])))
+            own = np.arange(int(edges[-1])) + np.repeat(starts[some] - edges[:-1], np.diff(edges))
+            cols = [pa.array(x.keys[some]), pa.array(n[lo : lo + 2000]), as_binary(sig[some]), as_binary(fine_sketches(s[own], edges, FINE)), sets.slice(lo, 2000)]
+            yield pa.RecordBatch.from_arrays(cols, names=["cid", "n", "sig", "fine", "set"])
 
 
 def _sized(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def line_links(texts: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+def line_links(texts: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between sequence hashes of different but similar lines."""
-    bands = texts.select("text").mapInArrow(_line_bands, "key long, cid long")
+    bands = lines.select(F.explode("bands").alias("band"), F.col("key").alias("cid")).withColumnRenamed("band", "key")
     shared = bands.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("key")
-    members, path = spilled(bands.join(shared, "key").distinct(), "para-members")
+    members, path = spilled(bands.join(shared.hint("shuffle_hash"), "key").distinct(), "para-members")
     wanted = materialize(members.select("cid").distinct())
-    holders = units.where("kind = 0").join(_sized(wanted.select(F.col("cid").alias("key"))), "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    holders = lines.select("doc_id", "key").join(_sized(wanted.select(F.col("cid").alias("key"))), "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     holders = materialize(holders.select("doc_id").distinct())
     sets = texts.join(_sized(holders), "doc_id", "left_semi").select("text").mapInArrow(_line_sets, "cid long, n long, sig binary, fine binary, set array<long>")
     sets, sets_path = spilled(sets.join(_sized(wanted), "cid", "left_semi").dropDuplicates(["cid"]), "para-sets")
     verify = lambda pairs: materialize(similar_sets(pairs.distinct(), sets.select("cid", "set"), "cid", percent))
-    links = bucket_links(members, sets.select("cid", "n", "sig"), lambda ids: sets.select("cid", "fine").join(_sized(ids), "cid", "left_semi"), verify, verify, bands=BANDS, rows=ROWS, percent=percent, steps=[])
+    links = bucket_links(members, sets.select("cid", "n", "sig"), lambda ids: sets.select("cid", "fine", F.when(F.size("set") <= SHORT, F.col("set")).alias("exact")).join(_sized(ids), "cid", "left_semi"), verify, verify, bands=BANDS, rows=ROWS, percent=percent, steps=[])
     for p in (path, sets_path):
         drop_path(texts.sparkSession, p)
     return links
 
 
-def passages(texts: DataFrame, percent: int) -> DataFrame:
+def _shared(members: DataFrame) -> DataFrame:
+    """The members (key, tid, ...) of keys that several texts have, with each key's first text ``low``."""
+    shared = materialize(members.groupBy("key").agg(F.min("tid").alias("low"), F.max("tid").alias("high")).where("low < high").select("key", "low"))
+    # the shared keys of a partition are a small table to look up, which spares sorting all members
+    return members.join(F.broadcast(shared) if shared.count() <= BROADCAST_KEYS else shared.hint("shuffle_hash"), "key").distinct()
+
+
+def _meetings(members: DataFrame) -> DataFrame:
+    """Pairs of parts with their common seeds: each member (key, low, tid, seg, at) meets its key's first."""
+    lead = members.where("tid = low").groupBy("key").agg(F.min(F.struct("seg", "at")).alias("l"))
+    met = members.where("tid <> low").join(lead, "key")
+    met = met.select(F.col("low").alias("a"), F.col("l.seg").alias("a_seg"), F.col("tid").alias("b"), F.col("seg").alias("b_seg"), F.struct(F.col("l.at").alias("i"), F.col("at").alias("j")).alias("p"))
+    return met.groupBy("a", "a_seg", "b", "b_seg").agg(F.collect_set("p").alias("at"))
+
+
+def passages(texts: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """Passages over any lines that two texts share: ``tid`` (hash of the text), ``first_word``,
     ``n_words``, ``key`` (of the passage) and ``component``."""
-    only = texts.select("text")
-    seeds = only.mapInArrow(_seeds, "tid long, at int, key long, before long, after long")
-    shared = materialize(seeds.select("tid", "key").groupBy("key").agg(F.min("tid").alias("low"), F.max("tid").alias("high")).where("low < high").select("key"))
-    seeds, path = spilled(seeds.join(_sized(shared), "key", "left_semi").distinct(), "para-seeds")
-    pairs = None
-    for name in ("key", "before", "after"):
-        own = seeds.where(F.col(name).isNotNull()).select(F.col(name).alias("k"), "tid", "at")
-        lead = own.groupBy("k").agg(F.min(F.struct("tid", "at")).alias("l"))
-        met = own.join(lead, "k").where("tid <> l.tid").select(F.col("l.tid").alias("a"), F.col("tid").alias("b"), F.col("l.at").alias("i"), F.col("at").alias("j"))
-        pairs = met if pairs is None else pairs.union(met)
-    pairs, pairs_path = spilled(pairs.groupBy("a", "b").agg(F.collect_set(F.struct("i", "j")).alias("at")), "para-pairs")
-    wanted = materialize(pairs.select(F.col("a").alias("tid")).union(pairs.select("b")).distinct())
-    keyed, text_path = spilled(only.mapInArrow(_keyed, "tid long, text string").join(_sized(wanted), "tid", "left_semi").dropDuplicates(["tid"]), "para-texts")
-    both = pairs.join(keyed.select(F.col("tid").alias("a"), F.col("text").alias("s")), "a").join(keyed.select(F.col("tid").alias("b"), F.col("text").alias("t")), "b")
-    found = both.select("a", "b", "at", "s", "t").mapInArrow(lambda it: _passages(it, percent), "a long, b long, a_first long, a_words long, b_first long, b_words long")
-    found = materialize(found)
-    for p in (path, pairs_path, text_path):
-        drop_path(texts.sparkSession, p)
+    spark = texts.sparkSession
+    seeds = marks.select("tid", F.explode("seeds").alias("s")).select("tid", "s.at", "s.key")
+    seeds = _shared(seeds)
+    # seeds of a text that are near each other are in one part of it
+    w = Window.partitionBy("tid").orderBy("at")
+    seeds = seeds.withColumn("far", F.coalesce(F.col("at") - F.lag("at").over(w) > RUN_WORDS + 2 * MARGIN, F.lit(False)).cast("long"))
+    seeds = seeds.select("key", "low", "tid", F.sum("far").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("seg"), "at")
+    seeds, path = spilled(seeds, "para-seeds")
+
+    segs = seeds.groupBy("tid", "seg").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    wanted = materialize(segs.groupBy("tid").agg(F.collect_list(F.struct("seg", "lo", "hi")).alias("parts")))
+    held = marks.select("doc_id", "tid").join(_sized(wanted.select("tid")), "tid", "left_semi").groupBy("tid").agg(F.min("doc_id").alias("doc_id"))
+    held = materialize(held)
+    keyed = texts.join(_sized(held.select("doc_id").distinct()), "doc_id", "left_semi").mapInArrow(_keyed, "doc_id long, tid long, text string")
+    whole = keyed.join(held.join(wanted, "tid"), ["doc_id", "tid"]).select("tid", "text", "parts")
+    parts, parts_path = spilled(whole.mapInArrow(_slices, "tid long, seg long, first int, part string").dropDuplicates(["tid", "seg"]), "para-parts")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        side = lambda c, text: parts.select(F.col("tid").alias(c), F.col("seg").alias(f"{c}_seg"), F.col("first").alias(f"{c}_at"), F.col("part").alias(text))
+        both = pairs.join(side("a", "s"), ["a", "a_seg"]).join(side("b", "t"), ["b", "b_seg"]).select("a", "b", "at", "a_at", "b_at", "s", "t")
+        return materialize(both.mapInArrow(lambda it: _passages(it, percent), "a long, b long, a_first long, a_words long, b_first long, b_words long"))
+
+    side = lambda rows, c: rows.select(F.col(c).alias("tid"), F.col(f"{c}_first").alias("first_word"), F.col(f"{c}_words").alias("n_words"))
+    found = verified(_meetings(seeds))
+    # seeds in none of their text's passages meet again, under finer keys; the first of a key has met all
+    cover = side(found, "a").union(side(found, "b")).distinct().withColumnRenamed("tid", "own")
+    inside = (F.col("tid") == F.col("own")) & (F.col("at") >= F.col("first_word")) & (F.col("at") + RUN_WORDS <= F.col("first_word") + F.col("n_words"))
+    out = seeds.where("tid <> low").join(cover, inside, "left_anti")
+    open_ = out.groupBy("key").agg(F.min("tid").alias("low"), F.max("tid").alias("high")).where("low < high").select("key")
+    out = materialize(out.join(open_, "key", "left_semi"))
+    if out.limit(1).count():
+        again = out.groupBy("tid", "seg").agg(F.collect_set(F.struct("at", "key")).alias("own"))
+        keys = parts.join(again, ["tid", "seg"]).select("tid", "seg", "first", "part", "own").mapInArrow(_sides, "key long, tid long, seg long, at int")
+        keys = spill(_shared(spill(keys, "para-sides")), "para-sides")
+        found = materialize(found.union(verified(_meetings(keys))).distinct())
+    for p in (path, parts_path):
+        drop_path(spark, p)
+
     named = lambda c: F.xxhash64(c, f"{c}_first", f"{c}_words")
-    side = lambda c: found.select(F.col(c).alias("tid"), F.col(f"{c}_first").alias("first_word"), F.col(f"{c}_words").alias("n_words"), named(c).alias("key"))
-    spans = materialize(side("a").union(side("b")).distinct())
+    spans = materialize(side(found, "a").union(side(found, "b")).distinct().withColumn("key", F.xxhash64("tid", "first_word", "n_words")))
     # places of one text that are nearly the same are one passage
     w = Window.partitionBy("tid").orderBy("first_word", "n_words")
     last = F.lag(F.struct("first_word", "n_words", "key")).over(w)
@@ -336,16 +437,18 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     in the component), ``kept`` (the paragraph that stays)."""
     arrow_limits(docs.sparkSession, 500)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
-    units = spill(texts.mapInArrow(_units, "doc_id long, first_word long, n_words int, kind int, key long"), "para-units")
-    found = components(line_links(texts, units, percent))
+    marks, path = spilled(texts.mapInArrow(_marks, MARKS), "para-marks")
+    lines = marks.select("doc_id", F.explode("lines").alias("l")).select("doc_id", "l.*")
+    units = lines.select("doc_id", "first_word", "n_words", F.lit(0).alias("kind"), "key").union(marks.select("doc_id", F.lit(0), "n_words", F.lit(1), "tid"))
+    found = components(line_links(texts, lines, percent))
     again = units.where(f"n_words >= {MIN_WORDS}").groupBy("kind", "key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("kind", "key")
     keys = materialize(again.union(found.select(F.lit(0), "v")).distinct())
     placed = units.join(_sized(keys), ["kind", "key"], "left_semi").join(found.select(F.lit(0).alias("kind"), F.col("v").alias("key"), "component"), ["kind", "key"], "left")
-    placed = placed.select("doc_id", "first_word", "n_words", "kind", F.coalesce("component", "key").alias("component"))
-    inside = passages(texts, percent)
-    holders = units.where("kind = 1").select("doc_id", F.col("key").alias("tid")).distinct()
-    inside = inside.join(holders, "tid").select("doc_id", "first_word", F.col("n_words").cast("int").alias("n_words"), F.lit(1).alias("kind"), "component").distinct()
+    placed = placed.select("doc_id", F.col("first_word").cast("long").alias("first_word"), "n_words", "kind", F.coalesce("component", "key").alias("component"))
+    inside = passages(texts, marks, percent).join(marks.select("doc_id", "tid").distinct(), "tid")
+    inside = inside.select("doc_id", "first_word", F.col("n_words").cast("int").alias("n_words"), F.lit(1).alias("kind"), "component").distinct()
     placed = spill(placed.union(inside), "para-placed")
+    drop_path(docs.sparkSession, path)
     place = F.struct("doc_id", "first_word", "n_words")
     groups = placed.groupBy("kind", "component").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last"), F.min(place).alias("stays"), F.count(F.lit(1)).alias("n_places")).where("component_id < last")
     rows = placed.join(groups, ["kind", "component"])
