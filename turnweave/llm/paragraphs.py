@@ -16,9 +16,9 @@ up to ``GAP`` words differ, as far as the exact Jaccard similarity stays at the
 passages so found link where MIN_WORDS or more remain on both sides.  Only the parts of texts
 around shared seeds, with ``MARGIN`` words more, are brought together.  A text's seed meets the
 first text that has it.  Seeds that then stand in no passage of their text meet once more, under
-finer keys: the seed with several numbers of words before and after it (``AROUND``), and the MinHash
-bands of the ``SIDE`` words on either side.  Texts with an equal stretch of 33 words are thus
-always linked; a near passage could only be missed where the first text differs under all keys.
+finer keys: the seed with several numbers of words before and after it (``AROUND``).  Texts with an
+equal stretch of 34 words are thus always linked; a near passage could only be missed where the
+first text differs under all these keys.
 
 Only hashes, places and ids are shuffled; texts come back for candidate paragraphs alone.
 A bucket's members meet one of them in each of a few rounds, never all with all; only members
@@ -46,10 +46,10 @@ BANDS, ROWS = 6, 2
 SHINGLE = 5
 FINE = 1024
 MIN_WORDS = 30
-RUN_WORDS, WINDOW, GRAM = 16, 9, 4
-SIDE, GAP = 32, 8
-#: Words before and after a seed that make up finer keys: any stretch of 33 equal words that holds it has one of 30, any of 27 one of 24.
-AROUND = ((14, 0), (10, 4), (7, 7), (4, 10), (0, 14), (8, 0), (4, 4), (0, 8))
+RUN_WORDS, WINDOW, GRAM = 12, 13, 4
+GAP = 8
+#: Words before and after a seed that make up finer keys: any stretch of 34 equal words that holds it has one of 30, any of 27 one of 24.
+AROUND = ((18, 0), (13, 5), (9, 9), (5, 13), (0, 18), (12, 0), (8, 4), (4, 8), (0, 12))
 #: Words of a text that are looked at beyond its first and last shared seed.
 MARGIN = 64
 #: Keys are sent to every executor up to this many (8 bytes each); above, they are joined by a shuffle.
@@ -196,7 +196,7 @@ def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = lists.offsets.to_numpy()
         own = lists.values.slice(edges[0], edges[-1] - edges[0])
         row = np.repeat(np.arange(len(batch)), np.diff(edges))
-        at, seed = (own.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        at = own.field(0).to_numpy(zero_copy_only=False)
         place = firsts[row] + at - batch.column(2).to_numpy()[row]
         key, who = [], []
         for before, after in AROUND:
@@ -206,14 +206,6 @@ def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 k = mix64(k + words[place[some] + j])
             key.append(k)
             who.append(some)
-        for lo, hi in ((np.maximum(place - SIDE, firsts[row]), place), (place + RUN_WORDS, np.minimum(place + RUN_WORDS + SIDE, firsts[row + 1]))):
-            some = np.flatnonzero(hi - lo >= SHINGLE)
-            n = (hi - lo)[some]
-            ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
-            s, starts = shingle_hashes(words[np.arange(int(ends[-1])) + np.repeat(lo[some] - ends[:-1], n)], ends, SHINGLE)
-            bands = band_keys(_signature(s, starts), BANDS, ROWS) ^ seed[some].view(np.uint64)[:, None]
-            key.append(mix64(bands).reshape(-1))
-            who.append(np.repeat(some, BANDS))
         who = np.concatenate(who)
         cols = [pa.array(np.concatenate(key).view(np.int64)), *(pa.array(batch.column(i).to_numpy()[row[who]]) for i in range(2)), pa.array(at[who])]
         yield pa.RecordBatch.from_arrays(cols, names=["key", "tid", "seg", "at"])
@@ -412,7 +404,7 @@ def passages(texts: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     open_ = out.groupBy("key").agg(F.min("tid").alias("low"), F.max("tid").alias("high")).where("low < high").select("key")
     out = materialize(out.join(open_, "key", "left_semi"))
     if out.limit(1).count():
-        again = out.groupBy("tid", "seg").agg(F.collect_set(F.struct("at", "key")).alias("own"))
+        again = out.groupBy("tid", "seg").agg(F.collect_set(F.struct("at")).alias("own"))
         keys = parts.join(again, ["tid", "seg"]).select("tid", "seg", "first", "part", "own").mapInArrow(_sides, "key long, tid long, seg long, at int")
         keys = spill(_shared(spill(keys, "para-sides")), "para-sides")
         found = materialize(found.union(verified(_meetings(keys))).distinct())
