@@ -1,6 +1,7 @@
 """Golden cases of the text, JSON, timeline and audio functions."""
 
 import json
+import re
 
 import numpy as np
 import pytest
@@ -48,6 +49,18 @@ def test_emotion_variants(spark):
     assert apply(spark, [None], lambda c: X.normalize_emotion(c, POOL)) == [None]
 
 
+def test_sanitize_tts(spark):
+    """Against the same rules in plain Python, on lines with spaced letters in all places."""
+    cases = ["", " ", "A P P", "the A P P and a b c d ends", "FA P P x A P Px A P P", "a b", "I am a U S A fan (happy)", "x (emotion: sad) ", "(Python) ok (Python)", "A\tP\nP 好 A B C 好", "é A B C é", "A P P A P P", "1 A B C 2", "A P P.", "tail (two words)"]
+
+    def plain(t):
+        t = re.sub(r"\b(?:[A-Za-z]\s+){2,}[A-Za-z]\b", lambda m: re.sub(r"\s+", "", m[0]), t)
+        return re.sub(r"\s*\(\s*(?:emotion\s*[:=]\s*)?[A-Za-z_\-]+\s*\)\s*$", "", t, flags=re.I).strip()
+
+    assert apply(spark, cases, X.sanitize_tts) == [plain(c) for c in cases]
+    assert apply(spark, [None], X.sanitize_tts) == [None]
+
+
 def test_emotion_round_trip(spark):
     text = "some words here"
     forms = [f"({e}) {text}" for e in POOL] + [f"/{e}/ {text}" for e in POOL] + [f"{text} ({e})" for e in POOL]

@@ -184,9 +184,12 @@ def normalize_emotion(text: Column, pool: list[str]) -> Column:
 def sanitize_tts(c: Column) -> Column:
     """Spaced letters become one word (``A P P`` -> ``APP``, three or more); a bare or full
     tag at the end goes."""
-    runs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?U)\b(?:[A-Za-z]\s+){2,}[A-Za-z]\b"), F.lit(0)))
-    runs = F.array_sort(runs, lambda a, b: F.length(b) - F.length(a))
-    joined = F.aggregate(runs, c, lambda acc, r: F.replace(acc, r, F.regexp_replace(r, r"(?U)\s+", "")))
+    # the places found are marked, then the text is cut at their ends
+    marked = F.regexp_replace(c, r"(?U)\b((?:[A-Za-z]\s+){2,}[A-Za-z])\b", "\ue000$1\ue001")
+    parts = F.split(marked, "(?=\ue000)|(?<=\ue001)")
+    found = lambda x: x.startswith("\ue000") & x.endswith("\ue001")
+    plain = lambda x: F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"(?U)\s+", "")
+    joined = F.array_join(F.transform(parts, lambda x: F.when(found(x), plain(x)).otherwise(x)), "")
     return strip(F.regexp_replace(joined, r"(?iU)\s*\(\s*(?:emotion\s*[:=]\s*)?[A-Za-z_\-]+\s*\)\s*$", ""))
 
 

@@ -162,9 +162,10 @@ def anti_pending(spark: SparkSession, d: str) -> DataFrame:
     return L.pending(table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels"), "doc_id")
 
 
-@query(rf"WITH {TURNS} SELECT conv_id, turn_index, s.description FROM turns LEFT JOIN (SELECT doc_id, lang || ' ' || source AS description FROM documents WHERE doc_id % 2 = 0) s ON turns.conv_id = s.doc_id")
+@query(rf"WITH {TURNS} SELECT conv_id, turn_index, s.description FROM turns LEFT JOIN (SELECT doc_id, 'quality ' || quality AS description FROM labels) s ON turns.conv_id = s.doc_id")
 def scenario_left_join(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "documents").where("doc_id % 2 = 0").select(F.concat(F.lit("Chat_scenario"), F.col("doc_id").cast("string")).alias("name"), F.concat("lang", F.lit(" "), "source").alias("description"))
+    """Turns with their scenario's description, which only labelled ones have."""
+    s = table(spark, d, "labels").select(F.concat(F.lit("Chat_scenario"), F.col("doc_id").cast("string")).alias("name"), F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("description"))
     s = s.select(X.canonical_scenario_id(F.col("name")).alias("scenario_id"), "description")
     t = turns(spark, d).withColumn("scenario_id", F.concat(F.lit("scenario"), F.col("conv_id").cast("string")))
     return L.with_default(t, s, "scenario_id", {"description": None}).select("conv_id", "turn_index", "description")
@@ -176,19 +177,19 @@ def defaulted_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    r"WITH c AS (SELECT doc_id, 1 AS r, 'filler/' || doc_id AS path FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, 2, 'overlap/' || doc_id FROM documents WHERE doc_id % 2 = 0 "
-    r"UNION ALL SELECT doc_id, 3, 'dialogue/' || doc_id FROM documents WHERE doc_id % 5 <> 1) "
+    r"WITH c AS (SELECT doc_id, 1 AS r, 'filler/' || doc_id AS path FROM documents WHERE lang = 'en' UNION ALL SELECT doc_id, 2, 'overlap/' || doc_id FROM documents WHERE lang IN ('en', 'fr') "
+    r"UNION ALL SELECT doc_id, 3, 'dialogue/' || doc_id FROM documents WHERE lang <> 'es') "
     r"SELECT d.doc_id, (SELECT arg_min(path, r) FROM c WHERE c.doc_id = d.doc_id) AS path FROM documents d"
 )
 def stage_priority(spark: SparkSession, d: str) -> DataFrame:
-    """Each dialogue's text from the first stage that has one."""
-    docs = table(spark, d, "documents").select("doc_id")
+    """Each dialogue's text from the first stage that has one; which stages have is told by the language."""
+    docs = table(spark, d, "documents").select("doc_id", "lang")
     part = lambda cond, r, n: docs.where(cond).select("doc_id", F.lit(r).alias("r"), F.concat(F.lit(n + "/"), F.col("doc_id").cast("string")).alias("path"))
-    c = part("doc_id % 3 = 0", 1, "filler").unionByName(part("doc_id % 2 = 0", 2, "overlap")).unionByName(part("doc_id % 5 <> 1", 3, "dialogue"))
-    return L.first_by_priority(docs, c, ["doc_id"], ["r"]).select("doc_id", "path")
+    c = part("lang = 'en'", 1, "filler").unionByName(part("lang IN ('en', 'fr')", 2, "overlap")).unionByName(part("lang <> 'es'", 3, "dialogue"))
+    return L.first_by_priority(docs.select("doc_id"), c, ["doc_id"], ["r"]).select("doc_id", "path")
 
 
-_CLIPS = "(SELECT s_suppkey, 'spk' || s_nationkey % 5 AS speaker, 'emo' || s_suppkey % 4 AS emotion, 'c' || s_suppkey AS clip FROM supplier WHERE s_nationkey % 5 <> 4)"
+_CLIPS = "(SELECT s_suppkey, 'spk' || s_nationkey % 5 AS speaker, 'emo' || s_suppkey % 4 AS emotion, 'c' || s_suppkey AS clip FROM supplier)"
 
 
 @query(
@@ -200,7 +201,7 @@ _CLIPS = "(SELECT s_suppkey, 'spk' || s_nationkey % 5 AS speaker, 'emo' || s_sup
 def ref_fallback(spark: SparkSession, d: str) -> DataFrame:
     """A reference clip for each turn: of its emotion and speaker, else its speaker, else any."""
     k = F.col("s_suppkey")
-    clips = table(spark, d, "supplier").where("s_nationkey % 5 <> 4").select(
+    clips = table(spark, d, "supplier").select(
         F.concat(F.lit("spk"), (F.col("s_nationkey") % 5).cast("string")).alias("speaker"), F.concat(F.lit("emo"), (k % 4).cast("string")).alias("emotion"), F.concat(F.lit("c"), k.cast("string")).alias("clip")
     )
     h = F.col("h")
@@ -228,21 +229,24 @@ def emotion_grid(spark: SparkSession, d: str) -> DataFrame:
     return named.unionByName(plain)
 
 
-@query(r"SELECT DISTINCT n_name AS topic, n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_custkey % 20 = 0) AS available FROM nation")
+@query(r"SELECT topic, topic IN (SELECT n_name FROM nation JOIN customer ON n_nationkey = c_nationkey) AS available FROM (SELECT n_name AS topic FROM nation UNION SELECT r_name FROM region)")
 def topic_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Nations and regions are asked for; those that any customer has are there."""
     n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("topic"))
-    have = table(spark, d, "customer").where("c_custkey % 20 = 0").select(F.col("c_nationkey").alias("n_nationkey")).distinct().join(L.small(n), "n_nationkey").select("topic")
-    return L.request_status(n, have, "topic")
+    have = table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey")).distinct().join(L.small(n), "n_nationkey").select("topic")
+    return L.request_status(n.select("topic").union(table(spark, d, "region").select("r_name")), have, "topic")
 
 
 # -- aggregates ------------------------------------------------------------------------
 
 
-@query(r"SELECT source AS topic, greatest(max(CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE 0 END), max(CASE WHEN doc_id % 3 = 0 THEN doc_id ELSE 0 END)) + 1 AS next_index FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0 GROUP BY source")
+@query(r"SELECT source AS topic, max(greatest(doc_id, coalesce(turn, 0))) + 1 AS next_index FROM documents LEFT JOIN conversations ON conv_id = doc_id GROUP BY source")
 def next_index(spark: SparkSession, d: str) -> DataFrame:
+    """After the largest index of file names and of progress records (the turns of dialogues)."""
     docs = table(spark, d, "documents").select(F.col("source").alias("topic"), "doc_id")
-    names = docs.where("doc_id % 3 = 0").select("topic", X.scenario_index_in_name(F.concat("topic", F.lit("_scenario"), F.col("doc_id").cast("string"), F.lit("_1"))).alias("i"))
-    return P.next_index(docs.where("doc_id % 2 = 0").select("topic", F.col("doc_id").alias("i")), names, key="topic", index="i")
+    names = docs.select("topic", X.scenario_index_in_name(F.concat("topic", F.lit("_scenario"), F.col("doc_id").cast("string"), F.lit("_1"))).alias("i"))
+    items = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("i")).join(docs, "doc_id").select("topic", "i")
+    return P.next_index(items, names, key="topic", index="i")
 
 
 @query(r"SELECT source AS topic, count(*) AS n, max(doc_id) + 1 AS next_scenario_index, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source")
@@ -256,15 +260,15 @@ def ref_multimap(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    r"WITH o AS (SELECT source AS topic, doc_id % 200 AS sid, max(CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END) AS description FROM documents WHERE doc_id % 4 <> 0 AND doc_id < 400 GROUP BY ALL), "
-    r"n AS (SELECT source AS topic, doc_id % 200 AS sid, arg_min(lang, doc_id) FILTER (WHERE doc_id % 5 <> 0) AS v, arg_min(CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE lang END, doc_id) AS f FROM documents WHERE doc_id % 3 = 0 GROUP BY ALL) "
-    r"SELECT topic, sid, CASE WHEN trim(coalesce(description, '')) = '' AND v IS NOT NULL THEN v ELSE coalesce(description, f) END AS description FROM o FULL JOIN n USING (topic, sid)"
+    r"WITH o AS (SELECT doc_id, max(CASE WHEN toxic = 1 THEN '' ELSE 'quality ' || quality END) AS description FROM labels GROUP BY doc_id), "
+    r"n AS (SELECT doc_id, arg_min(lang, n_chars) FILTER (WHERE lang <> 'de') AS v, arg_min(CASE WHEN lang = 'de' THEN ' ' ELSE lang END, n_chars) AS f FROM documents GROUP BY doc_id) "
+    r"SELECT doc_id, CASE WHEN trim(coalesce(description, '')) = '' AND v IS NOT NULL THEN v ELSE coalesce(description, f) END AS description FROM o FULL JOIN n USING (doc_id)"
 )
 def progress_upsert(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select(F.col("source").alias("topic"), (F.col("doc_id") % 200).alias("sid"), "doc_id", "lang")
-    old = docs.where("doc_id % 4 <> 0 and doc_id < 400").groupBy("topic", "sid").agg(F.max(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang"))).alias("description"))
-    new = docs.where("doc_id % 3 = 0").withColumn("description", F.when(F.col("doc_id") % 5 == 0, " ").otherwise(F.col("lang")))
-    return P.upsert_fill(old, new, ["topic", "sid"], "description", "doc_id")
+    """Labels are the records so far, blank where toxic; documents are new ones, blank in German."""
+    old = table(spark, d, "labels").groupBy("doc_id").agg(F.max(F.when(F.col("toxic") == 1, "").otherwise(F.concat(F.lit("quality "), F.col("quality").cast("string")))).alias("description"))
+    new = table(spark, d, "documents").select("doc_id", "n_chars", F.when(F.col("lang") == "de", " ").otherwise(F.col("lang")).alias("description"))
+    return P.upsert_fill(old, new, ["doc_id"], "description", "n_chars")
 
 
 @query(r"SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_key FROM documents GROUP BY text HAVING count(*) > 1")
@@ -374,12 +378,13 @@ def plan_of_turns(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     r"SELECT s.s_suppkey, coalesce(n.n_name, CAST(s.s_nationkey AS VARCHAR)) AS display_name, coalesce(p.p_name, '') AS transcription FROM supplier s "
-    r"LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0) n ON s.s_nationkey = n.n_nationkey LEFT JOIN (SELECT * FROM part WHERE p_partkey % 3 = 0) p ON s.s_suppkey = p.p_partkey"
+    r"LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) n ON s.s_nationkey = n.n_nationkey LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) p ON s.s_suppkey = p.p_partkey"
 )
 def reference_registry(spark: SparkSession, d: str) -> DataFrame:
+    """Nations of one region are in no registry, and large parts have no transcription."""
     clips = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    names = table(spark, d, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("display_name"))
-    said = table(spark, d, "part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("s_suppkey"), F.col("p_name").alias("transcription"))
+    names = table(spark, d, "nation").where("n_regionkey <> 0").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("display_name"))
+    said = table(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("s_suppkey"), F.col("p_name").alias("transcription"))
     return L.with_registry(clips, names, said, "s_nationkey", "s_suppkey").select("s_suppkey", "display_name", "transcription")
 
 
