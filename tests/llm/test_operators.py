@@ -108,6 +108,22 @@ def test_near_dedup(spark, docs_dir, rows):
             assert r.component_id == u.find(r.doc_id) and r.kept == (r.component_id == r.doc_id)
 
 
+def test_near_dedup_versions_and_rows_without_id(spark):
+    """Versions of one id link what each is like; rows without an id are compared too."""
+    rng = np.random.default_rng(12)
+    new = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    near = lambda w: " ".join(w[:-1] + ["x"])
+    a, b, c, d = new(60), new(60), new(60), new(60)
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (3, near(a)), (9, near(b)), (None, " ".join(c)), (None, near(c)), (None, near(d)), (5, " ".join(d)), (None, ""), (None, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, print string")
+    got = near_dedup.near_duplicates(docs).collect()
+    assert sorted((r.id, r.component_id, r.kept) for r in got if r.id) == [(3, 3, True), (5, 5, True), (7, 3, False), (7, 3, False), (8, 8, True), (9, 3, False)]
+    assert sorted(((r.component_id or 0), r.kept) for r in got if r.id is None) == [(0, True)] * 4 + [(5, False)]
+    kept = near_dedup.near_stage(spark, docs, "").collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 0, 0, 3, 5, 8] and all(r.print == "k" for r in kept)
+    assert sum(r.doc_id is None and bool(r.text) for r in kept) == 1
+
+
 def test_sequential_pruning():
     steps = near_dedup.least_matches(0.8, 1e-6)
     assert [n for n, _ in steps] == [16, 32, 48, 64, 80, 96] and all(0 < m < 0.8 * n for n, m in steps)
@@ -209,6 +225,9 @@ def test_packing_beats_single_capacity():
 
 def test_licenses(spark, docs_dir, rows, tmp_path):
     more = [(2000, "Under the MIT\nLicense. CC-BY NC; cc by nc", "en", "a", None, None, None), (2001, "This work is licensed under the GNU General Public License, version 3.", "en", "a", None, None, None), (2002, "apache license, version 2.0 und mit dem the license", "de", "a", None, None, None)]
+    words = " ".join(f"w{i}" for i in range(50))
+    grant = "Permission is hereby granted, free of charge,\n * to any person obtaining\n * a copy of this software"
+    more += [(2003, f"{words}\nThis is licensed under the GNU General\nPublic License, version\n3, {words}", "en", "a", None, None, None), (2004, f"{words} {words} {grant}\n{words}", "en", "a", None, None, None)]
     spark.createDataFrame(rows + more, "doc_id long, text string, lang string, source string, n_chars long, key string, digest string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r for r in catalog.QUERIES["op2_license_scan"](spark, str(tmp_path)).collect()}
     token = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -220,6 +239,7 @@ def test_licenses(spark, docs_dir, rows, tmp_path):
         r = got[i]
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min(starts, default=None), max(starts, default=None), labels)
     assert got[2001].labels == "gpl-3" and got[2001].base_labels == "" and got[2000].labels == "cc-by-nc,mit"
+    assert got[2003].labels == "gpl-3" and got[2004].labels == "mit" and got[2003].n_base == got[2004].n_base == 0
 
 
 def test_license_join_is_exact():

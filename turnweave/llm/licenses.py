@@ -1,7 +1,7 @@
 """License scans by an exact set-similarity join.
 
-Every text is cut into blocks: its lines, long lines into windows of ``BLOCK`` words that
-overlap by half.  A block matches a license template when it contains at least ``CONTAIN``
+Every text is cut into blocks: its lines, and windows of ``BLOCK`` words that overlap by half over its
+whole word sequence, so that wording that runs over line ends is in one block too.  A block matches a license template when it contains at least ``CONTAIN``
 of the template's distinct tokens.  The join is exact and never forms all pairs:
 
 * tokens are ordered by how often they occur in the whole corpus, rarest first;
@@ -14,8 +14,7 @@ of the template's distinct tokens.  The join is exact and never forms all pairs:
 The templates are a short fixed list; they and the frequencies of their tokens are all that
 is sent to the executors.  Fixed phrases are found beside it, anywhere in the word sequence.
 
-Nulls and edges: null and empty texts have no words, places or labels, and score 0.  Words
-that run over a line end still make up a phrase, but not a block.  Repeated rows give equal
+Nulls and edges: null and empty texts have no words, places or labels, and score 0.  Repeated rows give equal
 rows; extra columns play no part; an empty table gives no rows.
 """
 
@@ -104,13 +103,14 @@ class Join:
         return out
 
 
-def blocks(lines: list[list[bytes]]) -> Iterator[list[bytes]]:
-    for w in lines:
-        if len(w) <= BLOCK:
-            yield w
-        else:
-            for i in range(0, len(w) - BLOCK // 2, BLOCK // 2):
-                yield w[i : i + BLOCK]
+def blocks(lines: list[list[bytes]], words: list[bytes]) -> Iterator[list[bytes]]:
+    """Short lines, and windows over all words; a line above half a window is in windows whole or in parts."""
+    if len(lines) > 1:
+        for w in lines:
+            if w and len(w) <= BLOCK:
+                yield w
+    for i in range(0, max(1, len(words) - BLOCK // 2), BLOCK // 2):
+        yield words[i : i + BLOCK]
 
 
 def phrase_places(words: list[bytes]) -> list[tuple[int, bytes]]:
@@ -133,7 +133,7 @@ def scan_text(text: str | None, join: Join) -> tuple:
     base = {PHRASES[p.decode()] for _, p in places}
     found, score, hit_blocks = set(base), 1.0 if base else 0.0, 0
     if not join.first.isdisjoint(words):
-        for block in blocks(lines):
+        for block in blocks(lines, words):
             if join.first.isdisjoint(block):
                 continue
             hits = join.matches(block)
