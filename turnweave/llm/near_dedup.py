@@ -1,8 +1,8 @@
 """Near-duplicate detection: MinHash bands, sequential Bayesian pruning, exact checks.
 
 1. Each text becomes its set of distinct word shingles (64-bit hashes), a fingerprint of
-   the set and a MinHash signature.  Documents with one and the same set form a class; the
-   smallest id stands for it, so copies cost one row each from here on.
+   the set and a MinHash signature.  Documents with one and the same set form a class, told by
+   the fingerprint and numbered by its first row, so copies cost one row each from here on.
 2. Bands of the signatures are bucket keys.  In each bucket every class is compared with one
    of them, drawn by hash, in rounds that go on while they link many; never all with all.
 3. A candidate pair is compared in batches of signature positions.  With m of n equal and a
@@ -19,8 +19,9 @@ pruning adds at most about ``miss`` for each batch.
 
 Nulls and edges: null, empty and blank texts have an empty set and are linked with nothing.
 Fewer words than a shingle: the whole sequence is the one shingle.  Rows that share an id
-count as versions of one document.  A row without an id joins the class of equal sets but
-links nothing itself.  Extra columns play no part; an empty table gives no rows.
+count as versions of one document, and link what any version does.  A row without an id takes part
+like others; its ``component_id`` is null, and it is kept, where no document of its group has an id.
+Extra columns play no part; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +51,8 @@ _RNG = np.random.default_rng(8_191)
 _A = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, size=BANDS * ROWS, dtype=np.uint32)
 _CHUNK = 1 << 16
-#: Ids are sent to every executor up to this many (8 bytes each); above, they are joined by a shuffle.
-BROADCAST_IDS = 500_000
+#: Ids are sent to every executor up to this many (some 50 bytes each); above, they are joined by a shuffle.
+BROADCAST_IDS = 200_000
 
 
 def least_matches(threshold: float, miss: float, positions: int = BANDS * ROWS, batch: int = BATCH) -> list[tuple[int, int]]:
@@ -116,16 +118,25 @@ def finely_similar(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int
     return m >= t * n - spread, m - (n - m) / 32 >= t * n + spread
 
 
-def short_sets(s: np.ndarray, starts: np.ndarray) -> pa.Array:
-    """The sorted sets of rows of at most ``SHORT`` elements, null for others."""
-    parts = [np.unique(s[a:z]).view(np.int64) if z - a <= SHORT else None for a, z in zip(starts[:-1], starts[1:], strict=True)]
-    return pa.array(parts, pa.list_(pa.int64()))
+def row_sets(s: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Each row's distinct hashes, sorted."""
+    return [np.unique(s[a:z]) for a, z in zip(starts[:-1], starts[1:], strict=True)]
+
+
+def prints_of(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """Size and fingerprint of 128 bits of each set."""
+    prints = np.zeros((len(sets), 2), dtype=np.uint64)
+    for i, u in enumerate(sets):
+        prints[i] = mix64(u).sum(dtype=np.uint64), mix64(u ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+    return pa.array([len(u) for u in sets], pa.int64()), as_binary(prints)
 
 
 def _fine(batches: Iterator[pa.RecordBatch], k: int, bins: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        s, starts = shingle_sets(batch.column(1), k)
-        yield pa.RecordBatch.from_arrays([batch.column(0), as_binary(fine_sketches(s, starts, bins)), short_sets(s, starts)], names=["cid", "fine", "exact"])
+        s, starts = shingle_sets(batch.column(0), k)
+        sets = row_sets(s, starts)
+        exact = pa.array([u.view(np.int64) if len(u) <= SHORT else None for u in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*prints_of(sets), as_binary(fine_sketches(s, starts, bins)), exact], names=["n", "print", "fine", "exact"])
 
 
 def as_binary(values: np.ndarray) -> pa.Array:
@@ -136,13 +147,7 @@ def as_binary(values: np.ndarray) -> pa.Array:
 def _sketch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         s, starts = shingle_sets(batch.column(1), k)
-        n = np.zeros(len(starts) - 1, dtype=np.int64)
-        prints = np.zeros((len(n), 2), dtype=np.uint64)
-        for i in range(len(n)):
-            u = np.unique(s[starts[i] : starts[i + 1]])
-            n[i] = len(u)
-            prints[i] = mix64(u).sum(dtype=np.uint64), mix64(u ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), as_binary(prints), as_binary(signatures(s, starts))], names=["id", "n", "print", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *prints_of(row_sets(s, starts)), as_binary(signatures(s, starts))], names=["id", "n", "print", "sig"])
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -278,11 +283,10 @@ def _needed(first: np.ndarray, second: np.ndarray, sure: np.ndarray) -> list[int
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        s, starts = shingle_sets(batch.column(1), k)
-        parts = [np.unique(s[starts[i] : starts[i + 1]]).view(np.int64) for i in range(len(starts) - 1)]
-        off = np.concatenate((np.zeros(1, np.int64), np.cumsum([len(p) for p in parts]))).astype(np.int32)
-        values = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(values))], names=["cid", "set"])
+        sets = row_sets(*shingle_sets(batch.column(0), k))
+        off = np.concatenate((np.zeros(1, np.int64), np.cumsum([len(u) for u in sets]))).astype(np.int32)
+        values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([*prints_of(sets), pa.ListArray.from_arrays(pa.array(off), pa.array(values))], names=["n", "print", "set"])
 
 
 def _sized(ids: DataFrame) -> DataFrame:
@@ -290,12 +294,12 @@ def _sized(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _exact(near: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets A, B have 100 |A & B| >= percent |A | B|."""
+def _exact(near: DataFrame, sets_of, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets A, B have 100 |A & B| >= percent |A | B|; ``sets_of`` gives
+    the sets of classes."""
     near = materialize(near.distinct())
-    ids = materialize(near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct())
-    sets = texts.join(_sized(ids), "cid", "left_semi").select("cid", "text").mapInArrow(lambda it: _sets(it, k), "cid long, set array<long>")
-    sets, path = spilled(sets, "near-sets")
+    ids = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
+    sets, path = spilled(sets_of(ids), "near-sets")
     found = materialize(similar_sets(near, sets, "cid", percent))
     drop_path(near.sparkSession, path)
     return found
@@ -376,35 +380,55 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: ``id, n_shingles, component_id, kept``; the component is
     the smallest id reachable over links of at least ``percent`` hundredths similarity."""
     arrow_limits(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("cid"), F.col(text_col).alias("text"))
-    marks = spill(texts.mapInArrow(lambda it: _sketch(it, shingle), "id long, n long, print binary, sig binary"), "near-marks")
-    groups = marks.where("n > 0").groupBy("print", "n").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "sig")).alias("r"))
-    reps = spill(groups.select("print", "n", F.col("r.id").alias("cid"), F.col("r.sig").alias("sig")), "near-classes")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sketched = texts.mapInArrow(lambda it: _sketch(it, shingle), "id long, n long, print binary, sig binary")
+    marks = spill(sketched.withColumn("row", F.monotonically_increasing_id()), "near-marks")
+    some = marks.where("n > 0")
+    classes = spill(some.groupBy("print", "n").agg(F.min("row").alias("cid"), F.min("id").alias("id")), "near-classes")
+    named = spill(some.select(F.col("row").alias("cid"), "n", "sig").join(classes.select("cid"), "cid", "left_semi"), "near-sketches")
 
-    named = reps.where("cid is not null").select("cid", "n", "sig")
     keys = named.select("cid", "sig").mapInArrow(_bands, "key long, cid long")
     shared = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("key")
     members, path = spilled(keys.join(shared, "key"), "near-members")
 
     steps = least_matches(percent / 100, miss)
 
+    def from_texts(asked: DataFrame, f, schema: str) -> DataFrame:
+        """What ``f`` makes of a text of each class asked for.  The texts are those of rows with the id of
+        such a class; classes are told by their fingerprints."""
+        own = materialize(classes.join(asked, "cid", "left_semi"))
+        ids = own.select(F.col("id").alias("own")).distinct()
+        rows = texts.join(_sized(ids), F.col("id").eqNullSafe(F.col("own")), "left_semi").select("text").mapInArrow(f, f"n long, print binary, {schema}")
+        return rows.join(_sized(own.select("print", "n", "cid")), ["print", "n"]).drop("print", "n").dropDuplicates(["cid"])
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        return from_texts(asked, lambda it: _sets(it, shingle), "set array<long>")
+
+    def fine(asked: DataFrame) -> DataFrame:
+        return from_texts(asked, lambda it: _fine(it, shingle, FINE), "fine binary, exact array<long>")
+
     def star(pairs: DataFrame) -> DataFrame:
         x = named.select(F.col("cid").alias("a"), F.col("n").alias("xn"), F.col("sig").alias("x"))
         y = named.select(F.col("cid").alias("b"), F.col("n").alias("yn"), F.col("sig").alias("y"))
         sized = pairs.join(x, "a").join(y, "b").where(100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
-        return _exact(sized.select("a", "b", "x", "y").mapInArrow(lambda it: _prune(it, steps), "a long, b long"), texts, shingle, percent)
+        return _exact(sized.select("a", "b", "x", "y").mapInArrow(lambda it: _prune(it, steps), "a long, b long"), sets_of, percent)
 
-    def fine(ids: DataFrame) -> DataFrame:
-        return texts.join(_sized(ids), "cid", "left_semi").mapInArrow(lambda it: _fine(it, shingle, FINE), "cid long, fine binary, exact array<long>").dropDuplicates(["cid"])
-
-    links = bucket_links(members, named, fine, star, lambda near: _exact(near, texts, shingle, percent), bands=BANDS, rows=ROWS, percent=percent, steps=steps)
+    links = bucket_links(members, named, fine, star, lambda near: _exact(near, sets_of, percent), bands=BANDS, rows=ROWS, percent=percent, steps=steps)
     drop_path(docs.sparkSession, path)
-    found = components(links)
-
-    rows = marks.select("id", "n", "print").join(reps.select("print", "n", "cid"), ["print", "n"], "left")
-    rows = rows.withColumn("cid", F.coalesce("cid", "id")).join(found.select(F.col("v").alias("cid"), "component"), "cid", "left")
-    component = F.coalesce("component", "cid")
-    return rows.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, component.isNull()).alias("kept"))
+    # several versions of a document are one
+    rows = some.select("id", "n", "print").join(classes.select("print", "n", "cid"), ["print", "n"])
+    many = rows.where("id is not null").groupBy("id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("id", "a")
+    versions = rows.select("id", F.col("cid").alias("b")).join(many, "id").where("a <> b").select("a", "b")
+    found = components(links.union(versions.distinct()))
+    placed = classes.join(found.select(F.col("v").alias("cid"), "component"), "cid", "left").select("print", "n", "id", F.coalesce("component", "cid").alias("component"))
+    placed = spill(placed, "near-placed")
+    first = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+    placed = placed.join(first, "component").select("print", "n", "component", "component_id")
+
+    out = marks.select("id", "n", "print").join(placed, ["print", "n"], "left")
+    component_id = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
+    kept = F.coalesce(F.col("id") == component_id, component_id.isNull())
+    return out.select("id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), kept.alias("kept"), "print", F.col("component").alias("group"))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +437,21 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without all but one of each group of near duplicates."""
-    gone = near_duplicates(docs).where("not kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents without all but one of each group of near duplicates.  Rows without an id
+    stay where their group has no document with one: one row of each such group, and empty texts."""
+    found = spill(near_duplicates(docs), "near-found")
+    gone = found.where("not kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
+    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    unnamed = docs.where("doc_id is null")
+    if not unnamed.limit(1).count():
+        return named
+    marks = F.pandas_udf(_text_print, "n long, print binary")("text")
+    rows = unnamed.select(*docs.columns, marks.alias("_m"))
+    groups = found.where("id is null and kept and n_shingles > 0").select(F.col("print").alias("_p"), F.col("n_shingles").alias("_n"), F.col("group").alias("_g")).distinct()
+    one = rows.join(groups, (F.col("_m.print") == F.col("_p")) & (F.col("_m.n") == F.col("_n"))).dropDuplicates(["_g"])
+    return named.unionByName(one.select(*docs.columns)).unionByName(rows.where("_m.n = 0").select(*docs.columns))
+
+
+def _text_print(texts: pd.Series) -> pd.DataFrame:
+    n, prints = prints_of(row_sets(*shingle_sets(pa.Array.from_pandas(texts, type=pa.large_string()), 5)))
+    return pd.DataFrame({"n": n.to_numpy(), "print": prints.to_pylist()})
