@@ -8,7 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -76,6 +76,20 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def whole_texts(rows: DataFrame, group: str, most_bytes: int) -> list[tuple]:
+    """``(i, group, t)`` of a sample ``rows(i, group, t)`` of bounded number, sorted: texts are whole, and
+    each group's are taken by the hash of ``i`` until they have ``most_bytes`` bytes together (the
+    first always).  Repeated rows count once."""
+    rows = rows.where("i is not null and t <> ''").withColumn("h", F.xxhash64("t")).dropDuplicates(["i", group, "h"])
+    rows, path = spilled(rows.withColumn("n", F.octet_length("t").cast("long")), "sample")
+    w = Window.partitionBy(group).orderBy(F.xxhash64("i"), "i", "h")
+    sizes = rows.select("i", group, "h", "n").withColumn("b", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    fits = sizes.where(F.col("b") <= F.greatest(F.lit(most_bytes), "n")).select("i", group, "h")
+    out = sorted(map(tuple, rows.join(fits, ["i", group, "h"]).select("i", group, "t").collect()))
+    drop_path(rows.sparkSession, path)
+    return out
+
+
 # -- word hashing over Arrow buffers ---------------------------------------------------
 
 _SPACE = np.zeros(256, dtype=bool)

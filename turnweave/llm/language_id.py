@@ -7,8 +7,9 @@ A-Z lowered and everything that is neither an ASCII letter nor part of a longer
 as one space.  Scoring is a gather and a sum over NumPy arrays, so its cost is a few
 nanoseconds for each byte, and texts are measured in pieces: memory stays bounded.
 
-The sample is bounded: about ``per_language`` texts of each language, by hash, read up to
-``sample_chars`` characters.  The score is the family's calibrated probability times the
+The sample is bounded: about ``per_language`` texts of each language, by hash, and ``most_texts`` of all
+(but 20 of each), read whole; of each language as many as have its share of ``sample_bytes`` bytes.
+Every language present is learnt; over ``MAX_LANGUAGES`` are an error.  The score is the family's calibrated probability times the
 weakest pair's.
 
 Nulls and edges: ``und`` with score 0 for null texts and texts without a letter, and where
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, read, text_buffers
+from .common import arrow_limits, read, text_buffers, whole_texts
 
 #: Families of language codes; a code that isn't listed is a family of its own.
 FAMILIES = {
@@ -44,7 +45,7 @@ BITS = 14
 ORDERS = (1, 2, 3, 4)
 PIECE = 1 << 18
 LETTER = re.compile(r"[^\W\d_]")
-MAX_LANGUAGES = 400
+MAX_LANGUAGES = 1000
 
 _MAP = np.full(256, 0x20, dtype=np.uint8)
 _MAP[0x61:0x7B] = np.arange(0x61, 0x7B)
@@ -190,17 +191,20 @@ class Model:
         return pred.tolist(), score
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400, sample_chars: int = 20_000) -> Model:
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400, most_texts: int = 8000, sample_bytes: int = 32 << 20) -> Model:
     """Fits on rows with a language whose id isn't held out."""
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2))
-    sizes = {r[0]: r[1] for r in usable.groupBy(lang_col).count().orderBy(F.desc("count")).limit(MAX_LANGUAGES).collect()}
+    sizes = {r[0]: r[1] for r in usable.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages")
     if not sizes:
         return Model([], [])
+    most = max(20, min(per_language, most_texts // len(sizes)))
     draw = F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) / float(1 << 20)
-    share = F.create_map(*(F.lit(v) for x, n in sizes.items() for v in (x, min(1.0, per_language / n))))
-    rows = usable.where(draw < share[F.col(lang_col)]).select(F.col(id_col).alias("i"), F.col(lang_col).alias("y"), F.substring(text_col, 1, sample_chars).alias("t")).toPandas()
-    rows = rows[rows["t"].map(lambda t: LETTER.search(t) is not None)].sort_values(["i", "t"], kind="stable") if len(rows) else rows
-    return Model(rows["t"].tolist(), rows["y"].tolist())
+    share = F.create_map(*(F.lit(v) for x, n in sizes.items() for v in (x, min(1.0, most / n))))
+    rows = usable.where(draw < share[F.col(lang_col)]).select(F.col(id_col).alias("i"), F.col(lang_col).alias("y"), F.col(text_col).alias("t"))
+    texts = [(y, t) for _, y, t in whole_texts(rows, "y", max(1, sample_bytes // len(sizes))) if LETTER.search(t)]
+    return Model([t for _, t in texts], [y for y, _ in texts])
 
 
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:

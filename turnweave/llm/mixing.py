@@ -88,7 +88,7 @@ def solve_rates(histogram: DataFrame, targets: DataFrame, cap: int = CAP) -> Dat
         (F.lit(1.0001) * F.log(F.lit(float(cap))) * F.col("mean") / F.coalesce("smallest", F.lit(1))).alias("high"),
         F.lit(False).alias("done"),
     )
-    state = materialize(state)
+    state = spill(state, "mix-state")  # a table with its true size, as estimates of nested joins multiply
     for _ in range(MAX_STEPS):
         h = F.broadcast(state.withColumnRenamed("source", "s"))  # one row per source: bounded by their number, checked by the caller
         joined = histogram.join(h, F.col("source").eqNullSafe(F.col("s")))
@@ -103,7 +103,7 @@ def solve_rates(histogram: DataFrame, targets: DataFrame, cap: int = CAP) -> Dat
         step = F.col("multiplier") - gap / F.col("slope")
         inside = (F.col("slope") > 0) & (step > F.col("low")) & (step < F.col("high"))
         nxt = nxt.withColumn("done", done).withColumn("multiplier", F.when(F.col("done"), F.col("multiplier")).when(inside, step).otherwise((F.col("low") + F.col("high")) / 2))
-        state = materialize(nxt.select("source", "source_size", "target", "mean", "multiplier", "low", "high", "done"))
+        state = spill(nxt.select("source", "source_size", "target", "mean", "multiplier", "low", "high", "done"), "mix-state")
         if not state.where("not done").limit(1).count():
             break
     return state.select("source", "source_size", "target", "mean", "multiplier")

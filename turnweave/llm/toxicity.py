@@ -12,12 +12,13 @@ a code of ``CODE`` bytes: a match of a few letters then pays for its own descrip
 lengths differ by several bytes instead of one.  As a window's distance depends on the word
 alone, each task keeps the distances of up to ``MEMO`` words.
 
-The sample is bounded: at most ``max_positive`` toxic and ``max_negative`` ordinary texts,
-by hash order, read up to ``sample_chars`` characters.  Scoring reads whole texts.
+The sample is bounded: at most ``max_positive`` toxic and ``max_negative`` ordinary texts, by hash
+order, each read whole; of either kind as many as have ``sample_bytes`` bytes together.  Scoring reads
+whole texts.
 
 Nulls and edges: null and empty texts have no window and get the calibrated score of a text
 without any distance.  Without both labels the score is the share of toxic labels (0 with
-none).  Labels that are null are not learnt; repeated labels of an id count each.  A null id
+none).  Labels that are null are not learnt; repeated rows of an id and text count once.  A null id
 is never learnt from and never held out.  Extra columns play no part.
 """
 
@@ -34,7 +35,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, read
+from .common import arrow_limits, read, whole_texts
 
 STRIP = " .,;:!?|*$%&#()[]{}<>\"'`~_-+=/\\"
 LEVEL, CODE, MEMO = 9, 4, 400_000
@@ -114,8 +115,8 @@ def _distinct(texts: list[str]) -> list[str]:
     seen: set[tuple[int, int]] = set()
     out = []
     for t in texts:
-        w = t.lower().split()[:3000]
-        h = np.array([zlib.crc32(" ".join(w[i : i + 4]).encode()) for i in range(max(1, len(w) - 3))], dtype=np.uint32)
+        w = t.lower().split()
+        h = np.fromiter((zlib.crc32(" ".join(w[i : i + 4]).encode()) for i in range(max(1, len(w) - 3))), dtype=np.uint32)
         keys = [(j, int((h * np.uint32(m)).min())) for j, m in enumerate((1, 0x9E3779B1, 0x85EBCA6B))]
         if not any(k in seen for k in keys):
             out.append(t)
@@ -208,17 +209,17 @@ def remainder(id_col: str):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = 1500, max_negative: int = 3000, sample_chars: int = 20_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = 1500, max_negative: int = 3000, sample_bytes: int = 16 << 20) -> Model:
     """Fits on labelled rows whose id isn't held out."""
     learnt = labels.where(F.col(label_col).isNotNull() & (remainder(id_col) != 2)).select(id_col, F.col(label_col).cast("int").alias("_y"))
 
-    def sample(y: int, most: int) -> list[str]:
-        chosen = learnt.where(F.col("_y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most)
-        rows = docs.select(id_col, F.substring(F.col(text_col), 1, sample_chars).alias("_t")).join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("i"), "_t")
-        pdf = rows.toPandas().sort_values(["i", "_t"], kind="stable")
-        return [t for t in pdf["_t"] if isinstance(t, str) and t]
+    def sample(y: int, most: int) -> DataFrame:
+        return learnt.where(F.col("_y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most)
 
-    return fit(sample(1, max_positive), sample(0, max_negative))
+    chosen = sample(1, max_positive).union(sample(0, max_negative))
+    rows = docs.select(id_col, F.col(text_col).alias("t")).join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("i"), F.col("_y").alias("y"), "t")
+    texts = whole_texts(rows, "y", sample_bytes)
+    return fit([t for _, y, t in texts if y == 1], [t for _, y, t in texts if y == 0])
 
 
 def scorer(model: Model):
