@@ -326,12 +326,16 @@ def _line_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [np.unique(s[starts[i] : starts[i + 1]]).view(np.int64) for i in new]
         n = np.array([len(p) for p in parts], dtype=np.int64)
         sets = _listed(np.concatenate((np.zeros(1, np.int64), np.cumsum(n))), pa.array(np.concatenate(parts)))
-        for lo in range(0, len(new), 2000):  # a fine sketch has FINE bytes
-            some = np.array(new[lo : lo + 2000])
-            edges = np.concatenate((np.zeros(1, np.int64), np.cumsum(starts[some + 1] - starts[some])))
-            own = np.arange(int(edges[-1])) + np.repeat(starts[some] - edges[:-1], np.diff(edges))
-            cols = [pa.array(x.keys[some]), pa.array(n[lo : lo + 2000]), as_binary(sig[some]), as_binary(fine_sketches(s[own], edges, FINE)), sets.slice(lo, 2000)]
-            yield pa.RecordBatch.from_arrays(cols, names=["cid", "n", "sig", "fine", "set"])
+        yield pa.RecordBatch.from_arrays([pa.array(x.keys[new]), pa.array(n), as_binary(sig[new]), sets], names=["cid", "n", "sig", "set"])
+
+
+def _line_fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fine sketches of sets, and the sets where they are short."""
+    for batch in batches:
+        at = batch.column(1).offsets.to_numpy().astype(np.int64)
+        s = batch.column(1).values.to_numpy().view(np.uint64)[at[0] : at[-1]]
+        short = [x if len(x) <= SHORT else None for x in np.split(s.view(np.int64), (at - at[0])[1:-1])] if len(batch) else []
+        yield pa.RecordBatch.from_arrays([batch.column(0), as_binary(fine_sketches(s, at - at[0], FINE)), pa.array(short, pa.list_(pa.int64()))], names=["cid", "fine", "exact"])
 
 
 def _sized(keys: DataFrame) -> DataFrame:
@@ -346,10 +350,11 @@ def line_links(texts: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     wanted = materialize(members.select("cid").distinct())
     holders = lines.select("doc_id", "key").join(_sized(wanted.select(F.col("cid").alias("key"))), "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     holders = materialize(holders.select("doc_id").distinct())
-    sets = texts.join(_sized(holders), "doc_id", "left_semi").select("text").mapInArrow(_line_sets, "cid long, n long, sig binary, fine binary, set array<long>")
+    sets = texts.join(_sized(holders), "doc_id", "left_semi").select("text").mapInArrow(_line_sets, "cid long, n long, sig binary, set array<long>")
     sets, sets_path = spilled(sets.join(_sized(wanted), "cid", "left_semi").dropDuplicates(["cid"]), "para-sets")
     verify = lambda pairs: materialize(similar_sets(pairs.distinct(), sets.select("cid", "set"), "cid", percent))
-    links = bucket_links(members, sets.select("cid", "n", "sig"), lambda ids: sets.select("cid", "fine", F.when(F.size("set") <= SHORT, F.col("set")).alias("exact")).join(_sized(ids), "cid", "left_semi"), verify, verify, bands=BANDS, rows=ROWS, percent=percent, steps=[])
+    fine = lambda ids: sets.select("cid", "set").join(_sized(ids), "cid", "left_semi").mapInArrow(_line_fine, "cid long, fine binary, exact array<long>")
+    links = bucket_links(members, sets.select("cid", "n", "sig"), fine, verify, verify, bands=BANDS, rows=ROWS, percent=percent, steps=[])
     for p in (path, sets_path):
         drop_path(texts.sparkSession, p)
     return links
