@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpoint_dir, read, scratch, spill
+from .common import checkpoint_dir, drop_path, read, scratch, spill, spilled
 
 SPACE = " \t\n\x0b\x0c\r"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,9 +36,8 @@ def located(docs: DataFrame) -> DataFrame:
     return docs.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_at"))
 
 
-def _state(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
-    """Runs the stream over the digests in ``path`` until no file is left; its state as a table."""
-    where = scratch(spark, "dedup-state")
+def _state(spark: SparkSession, path: str, where: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
+    """Runs the stream over the digests in ``path`` until no file is left; its state, kept in ``where``, as a table."""
     # without preallocated files, which cost megabytes a partition however little state it has
     rocks = "spark.sql.streaming.stateStore.rocksdb"
     own = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, f"{rocks}.changelogCheckpointing.enabled": "true", f"{rocks}.allowFAllocate": "false"}
@@ -75,13 +74,15 @@ def stream_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     narrow = located(docs).select(
         F.col(id_col).alias("id"), F.col("_at").alias("at"), F.coalesce(F.length(text_col), F.lit(0)).alias("n_chars"), sha.alias("sha")
     )
-    narrow = spill(narrow.withColumn("digest", F.substring("sha", 1, digest_bits // 4)), "dedup-digests")
-    path = narrow.inputFiles()
-    if not path:
+    narrow, path = spilled(narrow.withColumn("digest", F.substring("sha", 1, digest_bits // 4)), "dedup-digests")
+    if not narrow.inputFiles():
         return narrow.select("id", "at", "sha", F.lit(0).cast("long").alias("n"), F.col("id").alias("keep_id"), F.lit(True).alias("kept"))
-    groups = _state(spark, path[0].rsplit("/", 1)[0], narrow.schema, files_per_batch)
+    where = scratch(spark, "dedup-state")
+    groups = _state(spark, path, where, narrow.schema, files_per_batch)
     rows = narrow.join(groups, "digest").select("digest", "id", "at", "sha", "n", F.col("best.id").alias("keep_id"), (F.col("at") == F.col("best.at")).alias("kept"))
     rows = spill(rows, "dedup-rows")
+    for p in (path, where):
+        drop_path(spark, p)
 
     # full bytes on hits
     hits = rows.where("n > 1").select(F.col("at").alias("_at"), "digest")

@@ -4,7 +4,7 @@
    the set and a MinHash signature.  Documents with one and the same set form a class, told by
    the fingerprint and numbered by its first row, so copies cost one row each from here on.
 2. Bands of the signatures are bucket keys.  In each bucket every class is compared with one
-   of them, drawn by hash, in rounds that go on while they link many; never all with all.
+   of them, drawn by hash, in a few rounds; never all with all.
 3. A candidate pair is compared in batches of signature positions.  With m of n equal and a
    uniform prior, the similarity s has P(s >= t | m, n) = P(Binomial(n + 1, t) <= m); a pair is
    given up as soon as that is below ``miss``.
@@ -41,8 +41,8 @@ BANDS, ROWS = 24, 4
 BATCH = 16
 #: Members of a bucket that are compared at once.
 BLOCK, GROUP = 128, 8
-#: Rounds in which every member of a bucket meets one other; the most for large buckets, and what each then has to bring.
-STARS, MOST_STARS, LESS = 2, 12, 0.1
+#: Rounds in which every member of an open bucket meets one other.
+STARS = 2
 #: Bins of the sketches that tell near pairs in open buckets.
 FINE = 2048
 #: Sets of at most this many elements go along with the sketches.
@@ -318,8 +318,7 @@ def bucket_links(members: DataFrame, sketches: DataFrame, fine, verify_star, ver
     signatures; ``fine`` gives the fine sketches (and short sets) of some of them, the other two functions keep
     the pairs (a, b) that are linked.  In each round every member of an open bucket, one whose
     members lie in several components, meets one of its bucket, drawn anew by hash, unless both are
-    in one component already.  After ``STARS`` rounds only buckets of over ``BLOCK`` members go on, as long as
-    a round brings ``LESS`` of their members outside their largest component into it.  Where buckets are then
+    in one component already.  Where buckets are after ``STARS`` rounds
     still open, those outside their largest component meet the members of all other
     components, block by block: these pairs could still join components.  They are compared
     within blocks, and only survivors become rows.
@@ -329,35 +328,21 @@ def bucket_links(members: DataFrame, sketches: DataFrame, fine, verify_star, ver
         """Open buckets with their members' number and largest component; buckets of two have been compared."""
         counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
         tops = counts.groupBy("key").agg(F.max_by("component", "c").alias("main"), F.max("c").alias("most"), F.sum("c").alias("m"))
-        return tops.where("m > 2 and most < m").select("key", "m", "main", (F.col("m") - F.col("most")).alias("outside"))
+        return tops.where("m > 2 and most < m").select("key", "m", "main")
 
     def now(rows: DataFrame, found: DataFrame) -> DataFrame:
         known = found.select(F.col("v").alias("cid"), "component")
         return rows.select("key", "cid").join(known, "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("component"))
 
-    active, links, rest = members.select("key", "cid", F.col("cid").alias("component"), F.lit(None).cast("long").alias("before")), None, None
-    for turn in range(MOST_STARS):
+    open_, links = members.select("key", "cid", F.col("cid").alias("component")), None
+    for turn in range(STARS):
         drawn = F.xxhash64("cid", F.pmod("key", F.lit(4)), F.lit(turn))
-        lead = active.groupBy("key").agg(F.min_by("cid", drawn).alias("lead"), F.min_by("component", drawn).alias("own"))
-        pairs = active.join(lead, "key").where("component <> own")
+        lead = open_.groupBy("key").agg(F.min_by("cid", drawn).alias("lead"), F.min_by("component", drawn).alias("own"))
+        pairs = open_.join(lead, "key").where("component <> own")
         new = verify_star(pairs.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct())
         links = new if links is None else materialize(links.union(new).distinct())
-        found = components(links)
-        placed = now(active, found)
+        placed = now(open_, components(links))
         open_ = materialize(placed.join(largest(placed), "key"))
-        if turn >= STARS - 1:
-            last = active.select("key", "before").distinct()
-            on = materialize(open_.select("key", "m", "outside").distinct().join(last, "key").where((F.col("m") > BLOCK) & (F.col("before").isNull() | (F.col("outside") <= (1 - LESS) * F.col("before")))).select("key"))
-            stays = open_.join(on, "key", "left_anti").select("key", "cid")
-            rest = stays if rest is None else rest.union(stays)
-            open_ = open_.join(on, "key", "left_semi")
-        active = open_.select("key", "cid", "component", F.col("outside").alias("before"))
-        if turn >= STARS - 1 and not active.limit(1).count():
-            break
-    else:
-        rest = rest.union(active.select("key", "cid"))
-    placed = materialize(now(rest, found))
-    open_ = materialize(placed.join(largest(placed), "key"))
     exact = fine(materialize(open_.select("cid").distinct()))
     open_ = open_.join(sketches, "cid").join(exact, "cid").withColumn("out", F.col("component") != F.col("main"))
     block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / BLOCK)).cast("int")
@@ -382,10 +367,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     arrow_limits(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketched = texts.mapInArrow(lambda it: _sketch(it, shingle), "id long, n long, print binary, sig binary")
-    marks = spill(sketched.withColumn("row", F.monotonically_increasing_id()), "near-marks")
+    marks, wide = spilled(sketched.withColumn("row", F.monotonically_increasing_id()), "near-marks")
+    some = marks.where("n > 0")
+    classes, of_classes = spilled(some.groupBy("print", "n").agg(F.min("row").alias("cid"), F.min("id").alias("id")), "near-classes")
+    named, of_named = spilled(some.select(F.col("row").alias("cid"), "n", "sig").join(classes.select("cid"), "cid", "left_semi"), "near-sketches")
+    marks, of_marks = spilled(marks.select("id", "n", "print"), "near-rows")
     some = marks.where("n > 0")
-    classes = spill(some.groupBy("print", "n").agg(F.min("row").alias("cid"), F.min("id").alias("id")), "near-classes")
-    named = spill(some.select(F.col("row").alias("cid"), "n", "sig").join(classes.select("cid"), "cid", "left_semi"), "near-sketches")
+    drop_path(docs.sparkSession, wide)
 
     keys = named.select("cid", "sig").mapInArrow(_bands, "key long, cid long")
     shared = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("key")
@@ -421,14 +409,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     versions = rows.select("id", F.col("cid").alias("b")).join(many, "id").where("a <> b").select("a", "b")
     found = components(links.union(versions.distinct()))
     placed = classes.join(found.select(F.col("v").alias("cid"), "component"), "cid", "left").select("print", "n", "id", F.coalesce("component", "cid").alias("component"))
-    placed = spill(placed, "near-placed")
+    placed, of_placed = spilled(placed, "near-placed")
     first = placed.groupBy("component").agg(F.min("id").alias("component_id"))
     placed = placed.join(first, "component").select("print", "n", "component", "component_id")
 
     out = marks.select("id", "n", "print").join(placed, ["print", "n"], "left")
     component_id = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     kept = F.coalesce(F.col("id") == component_id, component_id.isNull())
-    return out.select("id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), kept.alias("kept"), "print", F.col("component").alias("group"))
+    out = spill(out.select("id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), kept.alias("kept"), "print", F.col("component").alias("group")), "near-found")
+    for p in (of_classes, of_named, of_marks, of_placed):
+        drop_path(docs.sparkSession, p)
+    return out
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,7 +430,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without all but one of each group of near duplicates.  Rows without an id
     stay where their group has no document with one: one row of each such group, and empty texts."""
-    found = spill(near_duplicates(docs), "near-found")
+    found = near_duplicates(docs)
     gone = found.where("not kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
     named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
     unnamed = docs.where("doc_id is null")
