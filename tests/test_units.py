@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from turnweave.functions import audio as A
@@ -153,9 +154,19 @@ def test_two_speakers_distinct(spark):
 
 
 def test_global_row_number(spark):
-    df = spark.createDataFrame([(i % 5, i) for i in range(500)], "a int, b int")
-    got = [r.n for r in P.global_row_number(df, "a", ["b"], buckets=4, name="n").orderBy("a", "b").collect()]
-    assert got == list(range(1, 501))
+    """As ``row_number``; where all keys tie, ranges are cut by the tie column."""
+    df = spark.range(5000).select((F.col("id") * 7919 % 97).alias("a"), F.col("id").alias("b")).repartition(7)
+    for order in (["a", "b"], [F.desc("a"), "b"], [F.lit(1) * F.col("b") * 0, "b"]):
+        got = P.global_row_number(df, order, name="n", range_rows=600)
+        want = df.withColumn("n", F.row_number().over(Window.orderBy(*order)))
+        assert got.exceptAll(want).count() == 0 and got.count() == 5000
+    ties = df.withColumn("a", F.lit(0)).repartitionByRange(9, "a", "b").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert ties < 5000 / 4
+    same = P.global_row_number(df.select(F.lit(1).alias("a")), ["a"], name="n", range_rows=600)
+    assert sorted(r.n for r in same.collect()) == list(range(1, 5001))
+    assert P.global_row_number(df.limit(0), ["a"]).count() == 0
+    nulls = spark.createDataFrame([(None,), (3,), (1,)], "a int")
+    assert {(r.a, r.n) for r in P.global_row_number(nulls, ["a"], name="n").collect()} == {(None, 1), (1, 2), (3, 3)}
 
 
 def test_audio():

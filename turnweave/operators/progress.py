@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import spilled
+from .lookups import SMALL
+
 
 def _blank(c: Column) -> Column:
     return c.isNull() | (F.regexp_replace(c, r"(?U)\s+", "") == "")
@@ -51,24 +54,36 @@ def numeric_rank(index: Column) -> Column:
     return F.when(index.isNull(), F.lit(2 * 10**9)).when(index == 0, F.lit(10**9)).otherwise(index)
 
 
-def global_row_number(rows: DataFrame, key: str, tie: list[str], buckets: int = 64, name: str = "row_number") -> DataFrame:
-    """Row numbers over the whole table in order of a numeric ``key`` without bringing all
-    rows to one task: approximate quantiles cut the key into ranges, each is numbered apart
-    and moved by the size of those before it."""
-    cuts = rows.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 10_000).alias("_cuts"))
-    ranged = rows.crossJoin(F.broadcast(cuts)).withColumn("_b", F.coalesce(F.size(F.filter("_cuts", lambda x: x < F.col(key))), F.lit(0))).drop("_cuts")
-    sizes = ranged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_before"))  # one row per range
-    local = F.row_number().over(Window.partitionBy("_b").orderBy(key, *tie))
-    return ranged.withColumn("_l", local).join(F.broadcast(before), "_b").withColumn(name, (F.col("_l") + F.col("_before")).cast("long")).drop("_l", "_before", "_b")
+#: Rows that one range of a global numbering has, about.
+RANGE_ROWS = 1_000_000
+
+
+def global_row_number(rows: DataFrame, order: list[str | Column], name: str = "row_number", range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Row numbers from 1 over the whole table in ``order``, without bringing all rows to one task.
+
+    Rows are dealt into ranges of ``order``, as many as their number asks for, and sorted
+    within them; the places within ranges are kept in a table in the shared folder, so that counts
+    and numbers come from the same ranges.  What is summed up and joined back is one row for
+    each range.  Columns of ``order`` that tell equal keys apart also split them between ranges;
+    rows that are equal in all of them are numbered in any order.
+    """
+    n = max(1, -(-rows.count() // range_rows))
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed, _ = spilled(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    # the id is 2^33 times the number of the partition, and the row's place in it
+    own = placed.withColumn("_range", F.shiftright("_place", 33)).withColumn("_place", F.col("_place").bitwiseAND((1 << 33) - 1))
+    sizes = own.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    sent = F.broadcast(before) if n <= SMALL else before
+    return own.join(sent, "_range").withColumn(name, F.col("_place") + F.col("_before") + 1).select(*rows.columns, name)
 
 
 def round_robin(rows: DataFrame, key: str, tie: list[str], world: int) -> DataFrame:
-    return global_row_number(rows, key, tie, name="_i").withColumn("worker", F.pmod(F.col("_i") - 1, F.lit(world))).drop("_i")
+    return global_row_number(rows, [key, *tie], name="_i").withColumn("worker", F.pmod(F.col("_i") - 1, F.lit(world))).drop("_i")
 
 
 def chunks(rows: DataFrame, key: str, tie: list[str], size: int) -> DataFrame:
-    return global_row_number(rows, key, tie, name="_i").withColumn("chunk", F.floor((F.col("_i") - 1) / size)).drop("_i")
+    return global_row_number(rows, [key, *tie], name="_i").withColumn("chunk", F.floor((F.col("_i") - 1) / size)).drop("_i")
 
 
 def batches(totals: DataFrame, total: str, size: int) -> DataFrame:
