@@ -54,5 +54,6 @@ def empty_dir(spark, tmp_path_factory):
     none(FIELDS).parquet(f"{d}/documents.parquet")
     none("doc_id long, quality int, toxic int").parquet(f"{d}/labels.parquet")
     none("vec_id long, embedding array<float>, label int").parquet(f"{d}/embeddings.parquet")
+    none("item_id long, text string").parquet(f"{d}/benchmark.parquet")
     none("page_id long, url string, html string").parquet(f"{d}/pages.parquet")
     return d

@@ -412,11 +412,29 @@ def test_vectors(spark, tmp_path):
         hits += len(set(want) & set(g["vec_id"]))
         exact += list(g["vec_id"]) == want
     assert hits >= 0.95 * 20 * 45 and exact >= 30
-    books = neighbours.train(x)
-    codes = neighbours.encode(x, books)
-    near = sum(books[m][codes[:, m]] for m in range(len(books)))
-    one = neighbours.encode(x, books, beam=1)
-    assert ((x - near) ** 2).sum() <= ((x - sum(books[m][one[:, m]] for m in range(len(books)))) ** 2).sum() < 0.5 * (x**2).sum()
+
+
+
+def test_beam_search_codes():
+    """On vectors the books never saw, with few words a book: the beam's codes are no worse than greedy
+    ones, and much better than one book alone."""
+    rng = np.random.default_rng(6)
+    mix = rng.standard_normal((16, 16))
+    x = (rng.standard_normal((6000, 16)) @ mix).astype(np.float32)
+    books = neighbours.train(x[:4000], books=4, words=16)
+    held = x[4000:]
+
+    def error(beam):
+        codes = neighbours.encode(held, books, beam=beam)
+        return float(((held - sum(books[m][codes[:, m]] for m in range(4))) ** 2).sum())
+
+    first = ((held[:, None, :] - books[0][None]) ** 2).sum(2).min(1).sum()
+    assert error(8) < 0.99 * error(1) and error(8) < 0.75 * first
+    codes = neighbours.encode(held[:50], books, beam=16**4)
+    every = np.stack(np.meshgrid(*[np.arange(16)] * 4, indexing="ij"), -1).reshape(-1, 4)
+    sums = sum(books[m][every[:, m]] for m in range(4))
+    for v, c in zip(held[:50], codes, strict=True):  # a beam of all sums is exhaustive
+        assert np.isclose(((v - sum(books[m][c[m]] for m in range(4))) ** 2).sum(), ((v - sums) ** 2).sum(1).min(), rtol=1e-3)
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style></head><body class="nav-open"><nav><a href="/">Home</a></nav>
