@@ -43,7 +43,7 @@ from .common import arrow_limits, drop_path, mix64, read, spilled, text_buffers,
 
 BUCKETS, SEED, MIN_WORDS, PERCENT = 10_000, 7, 20, 25
 #: Bytes of text in a block, and bytes of text for which there is one shard of the dictionary.
-BLOCK_BYTES, SHARD_BYTES = 12 << 20, 12 << 20
+BLOCK_BYTES, SHARD_BYTES = 6 << 20, 6 << 20
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -90,6 +90,7 @@ def encode(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.R
     """Blocks of documents as numbers of words, and the words."""
     base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
     blocks = rows = 0
+    pool = pa.default_memory_pool()
     pieces: list[tuple] = []  # (row, id, words, whether the first word ends the piece before)
     lengths: list[np.ndarray] = []
     values: list[np.ndarray] = []
@@ -109,6 +110,7 @@ def encode(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays(out, names=["block", "bytes", "pieces", "seq", "names"])
         blocks, held = blocks + 1, 0
         pieces.clear(), lengths.clear(), values.clear()
+        pool.release_unused()
 
     for batch in batches:
         raw, offsets = text_buffers(batch.column(1))
@@ -141,7 +143,7 @@ class Block:
     def __init__(self, seq: bytes, pieces: bytes, names: bytes, shards: int) -> None:
         self.pieces = unpack(pieces)
         self.names = unpack(names).column(0)
-        w = unpack(seq).column(0).to_numpy().astype(np.int64)
+        w = unpack(seq).column(0).to_numpy()
         n = self.pieces.column("n").to_numpy()
         self.ends = np.cumsum(n)
         self.carried = self.pieces.column("carried").to_numpy(zero_copy_only=False)
@@ -151,7 +153,7 @@ class Block:
         self.own = np.ones(len(w), dtype=bool)  # words that don't belong to the piece before
         self.own[(self.ends - n)[self.carried]] = False
         self.words, self.second = w, second
-        self.pairs, self.which = np.unique((w[second - 1] << 32) | w[second], return_inverse=True)
+        self.pairs, self.which = np.unique((w[second - 1].astype(np.int64) << 32) | w[second], return_inverse=True)
         raw = b" ".join(self.names.to_pylist())
         h = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
         self.left, self.right = self.pairs >> 32, self.pairs & 0xFFFFFFFF
@@ -205,7 +207,7 @@ def _merge(group: pa.Table, buckets: int) -> pa.Table:
     n = np.concatenate([g.column("n").to_numpy() for g in got])
     del got
     which, k = coded.indices.to_numpy(), len(coded.dictionary)
-    bucket = np.fromiter((zlib.crc32(s) for s in coded.dictionary.to_pylist()), np.int64, k) % buckets
+    bucket = np.concatenate([np.fromiter(map(zlib.crc32, coded.dictionary.slice(at, 65_536).to_pylist()), np.int64) for at in range(0, k, 65_536)] or [np.zeros(0, np.int64)]) % buckets
     target = np.repeat(side, size) == 1
     counts = [np.bincount(which[m], weights=n[m], minlength=k) for m in (~target, target)]
     sums = np.stack([np.bincount(bucket, weights=c, minlength=buckets) for c in counts]).astype(np.int64)
