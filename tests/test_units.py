@@ -169,39 +169,6 @@ def test_global_row_number(spark):
     assert {(r.a, r.n) for r in P.global_row_number(nulls, ["a"], name="n").collect()} == {(None, 1), (1, 2), (3, 3)}
 
 
-def test_audio():
-    a, b = A.tone(1, 100), A.tone(2, 50)
-    mix = A.clean_mix([(True, a), (False, b)])
-    assert mix.shape == (2, 150) and np.allclose(mix[0, :100], a) and not mix[0, 100:].any() and np.allclose(mix[1, 100:], b)
-    x, rate = A.decode_wav(A.encode_wav(mix, 24000))
-    assert rate == 24000 and np.abs(x - mix[0]).max() < 1e-3
-    noise = np.random.default_rng(0).standard_normal(5000).astype(np.float32)
-    assert A.align(noise, noise[1200:1500], 1000, 480) == 1200
-    assert len(A.resample(a, 24000, 16000)) == 67
-    fx = A.effects_mix([(True, 0, np.ones(100)), (True, 60, np.full(30, 2.0)), (False, 50, np.ones(20))], 100)
-    assert fx[0, 59] == 1 and fx[0, 60] == 2 and not fx[0, 90:].any() and fx[1, 50:70].all()
-
-
-def test_alignment_finds_starts(spark, sf_dir):
-    from turnweave.plans.audio_queries import align_backfill
-
-    pdf = align_backfill(spark, sf_dir).toPandas()
-    assert len(pdf) and (pdf["start"] == pdf["found"]).mean() > 0.99
-
-
-def test_mixes_have_all_frames(spark, sf_dir):
-    from turnweave.plans.audio_queries import align_backfill, stereo_mix
-    from turnweave.plans.inputs import turns
-
-    want = {r.conv_id: r.n for r in turns(spark, sf_dir).groupBy("conv_id").agg(F.sum("frames").alias("n")).collect()}
-    got = stereo_mix(spark, sf_dir).collect()
-    assert {r.conv_id: r.frames for r in got} == want and all(r.wav_bytes == 44 + 4 * r.frames for r in got)
-    # an overlap starts before the end of what precedes it, so the starts are those of the effects mix
-    starts = {(r.conv_id, r.seg): r.start for r in align_backfill(spark, sf_dir).collect()}
-    first = {c: n for c, n in turns(spark, sf_dir).where("turn_index = 0").select("conv_id", "frames").collect()}
-    assert any(starts[c, 1] != n for c, n in first.items() if (c, 1) in starts)
-
-
 def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "c.tsv").write_text('path\tsentence\tgender\na.mp3\t"say ""hi"""\tmale\nb.mp3\t \tx\n')
     c = R.read_corpus(spark, str(tmp_path / "c.tsv"))

@@ -41,3 +41,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Removes an intermediate table that nothing reads any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Ends Arrow batches at ``most`` bytes, so that large values don't add up in a Python worker.  A
+    smaller limit of the session stays; results don't depend on it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        have = int(spark.conf.get(name))
+    except (ValueError, TypeError):
+        have = 0
+    if not 0 < have <= most:
+        spark.conf.set(name, str(most))
