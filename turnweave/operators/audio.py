@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions import audio as A
 from ..shipping import ship
-from ..storage import small_batches
+from ..storage import small_batches, spilled
 from .timeline import RATE
 
 BLOCK = 1 << 15
@@ -215,13 +215,12 @@ def align(clips: DataFrame, tiles: DataFrame, totals: DataFrame, key: str = "con
     asked = clips.join(totals, key).where((n > 0) & (n <= total))
     asked = asked.withColumn("lo", F.when(hi < lo, late).otherwise(lo)).withColumn("hi", F.when(hi < lo, late).otherwise(hi))
     place = F.row_number().over(Window.partitionBy(key, "channel", F.floor(F.col("lo") / tile)).orderBy(order)) - 1
-    # the window runs over the clips' numbers only, and meets their content again by key
-    sub = asked.select(key, order, "channel", "lo", "hi", F.floor(place / TOGETHER).alias("sub"))
-    blocks = decode_blocks(clips.select(key, order, content).join(sub, [key, order]), content, rate, block)
+    # a table of numbers that three branches read; content is met again by key
+    sub, _ = spilled(asked.select(key, order, "channel", "lo", "hi", n.alias("_n"), F.floor(place / TOGETHER).alias("sub")), "searches")
+    blocks = decode_blocks(clips.select(key, order, content).join(sub.drop("_n"), [key, order]), content, rate, block)
     own = blocks.withColumn("base", F.floor((F.col("lo") + F.col("start")) / tile))
     span = -(-(tile + 2 * reach + block) // tile)
-    last = asked.select(key, order, "frames")
-    need = sub.join(last, [key, order]).select(key, "channel", "sub", F.explode(F.sequence(F.floor(F.col("lo") / tile), F.floor((F.col("lo") + n - 1) / tile))).alias("base")).distinct()
+    need = sub.select(key, "channel", "sub", F.explode(F.sequence(F.floor(F.col("lo") / tile), F.floor((F.col("lo") + F.col("_n") - 1) / tile))).alias("base")).distinct()
     need = need.select("*", F.explode(F.sequence(F.col("base"), F.col("base") + (span - 1))).alias("tile"))
     near = need.join(tiles, [key, "tile"]).select(key, "channel", "sub", "base", "tile", F.when(F.col("channel") == 0, F.col("left")).otherwise(F.col("right")).alias("samples"))
     groups = [key, "channel", "sub", "base"]

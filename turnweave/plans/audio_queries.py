@@ -13,6 +13,7 @@ from ..functions import audio as A
 from ..functions import text as X
 from ..operators import audio as O
 from ..operators import timeline as TL
+from ..storage import spilled
 from .inputs import LINES, lines
 
 SUFFIXES = 32
@@ -80,9 +81,9 @@ def _mix(placed: DataFrame, c: DataFrame, end: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The files, and their lengths without them."""
+    """The files, and a table of their lengths, which timelines read several times."""
     c = clips(spark, d)
-    return c, O.with_frames(c).drop("content")
+    return c, spilled(O.with_frames(c).drop("content"), "clip-lengths")[0]
 
 
 def stereo_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +97,7 @@ def stereo_mix(spark: SparkSession, d: str) -> DataFrame:
 def effects_slices_audio(spark: SparkSession, d: str) -> DataFrame:
     """The cuts of the mix with effects: frames and a sum of the parts' checksums, by channel."""
     c, sized = _sized(spark, d)
-    placed = effects_placed(sized)
+    placed, _ = spilled(effects_placed(sized), "effects-timeline")
     tiles = _mix(placed, c, "total_frames")
     cuts = TL.effects_slices(placed).select("conv_id", "seg", "slice_start", "slice_end")
     parts = O.slice_parts(tiles, cuts)
@@ -106,7 +107,7 @@ def effects_slices_audio(spark: SparkSession, d: str) -> DataFrame:
 def align_backfill(spark: SparkSession, d: str) -> DataFrame:
     """Where each spoken clip lies in the mix with effects, searched around its clean start."""
     c, sized = _sized(spark, d)
-    placed = effects_placed(sized)
+    placed, _ = spilled(effects_placed(sized), "effects-timeline")
     totals = placed.groupBy("conv_id").agg(F.max("total_frames").alias("total_frames"))
     expected = clean_placed(sized).select("conv_id", "seg", "channel", "frames", F.col("start_frame").alias("expected"))
     asked = c.select("conv_id", "seg", "content").join(expected, ["conv_id", "seg"])
