@@ -186,7 +186,7 @@ def test_sources_and_sinks(spark, tmp_path):
     (d / "happy_anna_1.wav").write_bytes(A.encode_wav(np.zeros((1, 10)), 22050))
     (d / "bella_2.wav").write_bytes(A.encode_wav(np.zeros((1, 10)), 22050))
     assert [(w.emotion, w.speaker, w.variant) for w in R.read_reference_wavs(spark, str(d)).collect()] == [("happy", "anna", 1)]
-    rows = spark.createDataFrame([("t", "s", "x y")], "topic string, stage string, text string")
+    rows = spark.createDataFrame([("t", "s", "n", "x y")], "topic string, stage string, name string, text string")
     K.write_texts(rows, str(tmp_path / "out"))
     K.write_dataset(rows, str(tmp_path / "ds"))
     assert spark.read.json(str(tmp_path / "ds/json")).count() == spark.read.parquet(str(tmp_path / "ds/parquet")).count() == 1

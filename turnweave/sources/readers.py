@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.audio import wav_header
 from ..functions.text import gender_norm, none_if_empty, parse_stem, scenario_index_in_name, strip
 
 #: Columns of a clip corpus table.  Fixed values.
@@ -49,9 +50,14 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
+def _plain(path: Column) -> Column:
+    """A file's path without the escapes of a URL."""
+    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """Text files of a folder: path, the parts of the stem, and the whole text."""
-    t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    """Text files of a folder tree: path, the parts of the stem, and the whole text; empty files give no row."""
+    t = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(_plain(F.input_file_name()).alias("path"), F.col("value").alias("text"))
     return t.select("path", *(c.alias(n) for n, c in parse_stem(file_stem(F.col("path"))).items()), "text")
 
 
@@ -72,6 +78,23 @@ def read_reference_wavs(spark: SparkSession, path: str, excluded: tuple[str, ...
     return files.select("path", "length", *(c.alias(n) for n, c in parse_wav_name(file_stem(F.col("path"))).items())).where(~F.coalesce(F.col("speaker").isin(*excluded), F.lit(False)))
 
 
+def read_wavs(spark: SparkSession, path: str) -> DataFrame:
+    """WAV files of a folder tree, for decoding: ``path, length, content``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(path)
+    return files.select(_plain(F.col("path")).alias("path"), "length", "content")
+
+
+#: Leading bytes that a header is looked for in.
+HEADER_BYTES = 1 << 16
+
+
+def read_wav_durations(spark: SparkSession, path: str) -> DataFrame:
+    """What each file's header says, null where it can't be read: ``path, channels, rate, bits, frames,
+    seconds, whole``.  Samples leave the scan with nothing but their file's leading bytes."""
+    w = read_wavs(spark, path).select("path", "length", F.substring("content", 1, HEADER_BYTES).alias("head"))
+    return w.select("path", wav_header(F.col("head"), F.col("length")).alias("w")).select("path", "w.*")
+
+
 def largest_index(names: DataFrame, column: str) -> DataFrame:
     return names.agg(F.coalesce(F.max(scenario_index_in_name(F.col(column))), F.lit(0)).alias("largest"))
 

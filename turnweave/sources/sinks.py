@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keyed_files import write_named_texts, write_wavs
+
 #: Columns of progress lines and of synthesis manifests.  Fixed values.
-PROGRESS_COLUMNS = "ts rank world gpu topic txt dialogue_id status returncode done total generated skipped failed elapsed_sec log_or_err".split()
+PROGRESS_COLUMNS = ["ts", "rank", "world", "gpu", "topic", "txt", "dialogue_id", "status", "returncode", "done", "total", "generated", "skipped", "failed", "elapsed_sec", "log_or_err"]
 MANIFEST_COLUMNS = ["speaker_prompt_audio_filename", "speaker_prompt_text_transcription", "content_to_synthesize", "output_audio_filename"]
 
 
@@ -15,8 +17,14 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_texts(df: DataFrame, path: str) -> None:
-    """One text per row, in folders by topic and stage."""
-    df.select("topic", "stage", F.col("text").alias("value")).write.mode("overwrite").partitionBy("topic", "stage").text(path, lineSep="\n")
+    """Each row's text as a file of its own, ``topic/stage/name.txt``; ``read_texts`` gives the rows back."""
+    write_named_texts(df.select(F.concat_ws("/", "topic", "stage", F.concat("name", F.lit(".txt"))).alias("name"), "text"), path)
+
+
+def write_mixes(tiles: DataFrame, path: str, name: Column, rate: int = 24_000) -> None:
+    """Mixes or slices (``tile`` or ``part``, ``left, right``) as one WAV file for each ``name``."""
+    part = F.col("part") if "part" in tiles.columns else F.col("tile")
+    write_wavs(tiles.select(name.alias("name"), part.alias("part"), "left", "right"), path, rate)
 
 
 def write_dataset(df: DataFrame, path: str) -> None:
