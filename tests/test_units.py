@@ -153,6 +153,42 @@ def test_two_speakers_distinct(spark):
     assert {(r.user_speaker, r.agent_speaker) for r in got} == {(x, y) for x in "abc" for y in "abc" if x != y}
 
 
+def test_choices_by_place(spark):
+    """As lists per key would give, for keys without values, null keys and values, and empty pools."""
+    pool = [("a", "x", f"v{i % 40}") for i in range(90)] + [("a", "y", "w"), ("b", "x", "z"), ("c", None, "q"), ("b", "x", None)]
+    rows = [(i, "abcd"[i % 4], ["x", "y", None][i % 3]) for i in range(60)]
+    p = spark.createDataFrame(pool, "k string, m string, v string").repartition(3)
+    r = spark.createDataFrame(rows, "i long, k string, m string")
+    got = {x.i: (x.chosen, x.tier) for x in L.tiered_choice(r, p, [["k", "m"], ["k"], []], "v", F.col("i") * 7).collect()}
+    for i, k, m in rows:
+        tiers = [sorted({v for a, b, v in pool if v and a == k and b == m and m}), sorted({v for a, _, v in pool if v and a == k}), sorted({v for *_, v in pool if v})]
+        t = next(t for t, vs in enumerate(tiers) if vs)
+        assert got[i] == (tiers[t][i * 7 % len(tiers[t])], t)
+    none = L.tiered_choice(r, p.limit(0), [["k"], []], "v", F.col("i")).collect()
+    assert len(none) == 60 and all(x.chosen is None and x.tier is None for x in none)
+    assert L.two_distinct(r, "i", p.where("k = 'c'"), "v").count() == 0
+
+
+def test_resolve_speaker(spark):
+    files = [("a/b/1.wav",), ("a/b/2.mp3",), ("a/b/c/3.wav",), ("a/x.txt",), ("top.wav",), ("n/y.txt",)]
+    asked = ["a/b", "a/b/c", "a/x.txt", "top.wav", None, "", "n", "a", "zz", "a/b/9.wav"]
+    r = spark.createDataFrame(list(enumerate(asked)), "i long, request string")
+    f, pool = spark.createDataFrame(files, "path string"), spark.createDataFrame([("p1",), ("p2",)], "path string")
+    got = {x.i: (x.recording, x.error) for x in L.resolve_speaker(r, f, pool, "request", F.lit(1).cast("long")).collect()}
+    none = lambda p: (None, f"no recordings in folder: {p}")
+    assert list(got[i] for i in range(10)) == [("a/b/2.mp3", None), ("a/b/c/3.wav", None), ("a/x.txt", None), ("top.wav", None), ("p2", None), ("p2", None), none("n"), none("a"), (None, "no such path: zz"), (None, "no such path: a/b/9.wav")]
+    empty = L.resolve_speaker(r.where("i in (4, 8)"), f, pool.limit(0), "request", F.col("i")).collect()
+    assert {(x.i, x.recording, x.error) for x in empty} == {(4, None, "the pool is empty"), (8, None, "no such path: zz")}
+
+
+def test_filter_or_all(spark):
+    rows = [(1, "a", True), (2, "a", False), (3, "b", None), (4, "b", False), (5, None, False), (6, None, True)]
+    df = spark.createDataFrame(rows, "i int, g string, m boolean")
+    assert sorted(r.i for r in L.filter_or_all(df, F.col("m"), ["g"]).collect()) == [1, 3, 4, 6]
+    assert sorted(r.i for r in L.filter_or_all(df, F.col("m")).collect()) == [1, 6]
+    assert L.filter_or_all(df, F.lit(False)).count() == 6
+
+
 def test_global_row_number(spark):
     """As ``row_number``; where all keys tie, ranges are cut by the tie column."""
     df = spark.range(5000).select((F.col("id") * 7919 % 97).alias("a"), F.col("id").alias("b")).repartition(7)

@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import keyed_draw
-
-#: A dimension table is broadcast up to this many rows; above, Spark chooses.
-SMALL = 200_000
+from .numbering import SMALL, numbered
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -35,31 +33,33 @@ def tiered_choice(rows: DataFrame, pool: DataFrame, tiers: list[list[str]], valu
     """Each row with one value of the first tier that has any: tiers are lists of columns to
     match, from the most special to the most general (an empty list matches all).
 
-    Every tier is aggregated to a sorted array per key, so the join has one row per key and
-    the choice is by position; ``value`` must be of bounded number per key, as clips of a
-    speaker are.
+    The values of a tier are numbered in order; a row meets the first number and the count of its
+    key, draws a number, and meets the value with it.  ``chosen`` and ``tier`` are null where no tier has any.
     """
-    out, choice = rows, []
+    out, values, number = rows, None, []
     for i, keys in enumerate(tiers):
-        name = f"_tier{i}"
-        lists = pool.groupBy(*keys).agg(F.sort_array(F.collect_set(value)).alias(name))
-        out = out.join(lists, keys, "left") if keys else out.crossJoin(F.broadcast(lists))
-        choice.append(F.when(F.size(name) > 0, F.col(name)))
-    options = F.coalesce(*choice)
-    pick = F.element_at(options, (F.pmod(draw, F.size(options).cast("long")) + 1).cast("int"))
-    tier = F.coalesce(*(F.when(c.isNotNull(), F.lit(i)) for i, c in enumerate(choice)))
-    return out.withColumn("chosen", pick).withColumn("tier", tier).drop(*(f"_tier{i}" for i in range(len(tiers))))
+        placed, sizes = numbered(pool, keys, value)
+        sizes = sizes.withColumnsRenamed({"_first": f"_first{i}", "_size": f"_size{i}"})
+        # without keys there is one row of two numbers
+        out = out.join(small(sizes), keys, "left") if keys else out.crossJoin(F.broadcast(sizes))
+        number.append(F.when(F.col(f"_size{i}") > 0, F.struct(F.lit(i).alias("tier"), (F.col(f"_first{i}") + F.pmod(draw, F.col(f"_size{i}"))).alias("n"))))
+        own = placed.select(F.lit(i).alias("_tier"), F.col("_n"), F.col(value).alias("chosen"))
+        values = own if values is None else values.unionByName(own)
+    drawn = out.withColumn("_d", F.coalesce(*number)).select(*rows.columns, F.col("_d.tier").alias("_tier"), F.col("_d.n").alias("_n"))
+    return drawn.join(values, ["_tier", "_n"], "left").select(*rows.columns, "chosen", F.col("_tier").alias("tier"))
 
 
 def two_distinct(rows: DataFrame, key: str, pool: DataFrame, value: str) -> DataFrame:
-    """Two different values of a small pool for each row, by keyed hash: the first is drawn
-    from all, the second from the others."""
-    names = pool.select(value).distinct().agg(F.sort_array(F.collect_list(value)).alias("_all"))
-    n = F.size("_all").cast("long")
+    """Two different values of a pool for each row, by keyed hash: the first is drawn from all, the
+    second from the others.  A pool of fewer than two values gives no rows."""
+    names, sizes = numbered(pool, [], value)
+    n = F.col("_size")
     i = F.pmod(keyed_draw(F.lit("first"), F.col(key)), n)
     j = F.pmod(i + 1 + F.pmod(keyed_draw(F.lit("second"), F.col(key)), n - 1), n)
-    out = rows.crossJoin(F.broadcast(names)).where(F.size("_all") >= 2)
-    return out.withColumn("user_speaker", F.element_at("_all", (i + 1).cast("int"))).withColumn("agent_speaker", F.element_at("_all", (j + 1).cast("int"))).drop("_all")
+    drawn = rows.crossJoin(F.broadcast(sizes.where("_size >= 2"))).select(*rows.columns, (i + 1).alias("_i"), (j + 1).alias("_j"))  # one row
+    user = names.select(F.col("_n").alias("_i"), F.col(value).alias("user_speaker"))
+    agent = names.select(F.col("_n").alias("_j"), F.col(value).alias("agent_speaker"))
+    return drawn.join(user, "_i").join(agent, "_j").select(*rows.columns, "user_speaker", "agent_speaker")
 
 
 def pending(inputs: DataFrame, outputs: DataFrame, key: str) -> DataFrame:
@@ -90,22 +90,38 @@ def filter_or_all(rows: DataFrame, matches: Column, group: list[str] | None = No
     """The rows that match; all rows (of the group) where none does."""
     m = rows.withColumn("_m", F.coalesce(matches, F.lit(False)))
     if group:
-        return m.withColumn("_any", F.max("_m").over(Window.partitionBy(*group))).where("_m or not _any").drop("_m", "_any")
+        # one flag for each group instead of a window over its rows; null groups are a group
+        flags = m.groupBy(*(F.col(g).alias(f"_g{i}") for i, g in enumerate(group))).agg(F.max("_m").alias("_any"))
+        same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+        return m.join(small(flags), same).where("_m or not _any").select(*rows.columns)
     found = m.agg(F.coalesce(F.max("_m"), F.lit(False)).alias("_any"))
-    return m.crossJoin(F.broadcast(found)).where("_m or not _any").drop("_m", "_any")
+    return m.crossJoin(F.broadcast(found)).where("_m or not _any").drop("_m", "_any")  # one row
 
 
 def resolve_speaker(rows: DataFrame, files: DataFrame, pool: DataFrame, request: str, draw: Column, kinds: str = "wav|mp3|flac|m4a") -> DataFrame:
-    """A recording for each request: the file itself where it names one, a drawn file of the
-    folder it names, else one of the pool.  ``files`` and ``pool`` have ``path``."""
-    usable = files.where(F.col("path").rlike(rf"(?i)\.({kinds})$"))
-    known = usable.select(F.col("path").alias(request)).distinct().withColumn("_file", F.lit(True))
-    folders = usable.groupBy(F.regexp_replace("path", r"/[^/]*$", "").alias(request)).agg(F.sort_array(F.collect_set("path")).alias("_own"))
-    every = pool.agg(F.sort_array(F.collect_set("path")).alias("_pool"))
-    j = rows.join(known, request, "left").join(folders, request, "left").crossJoin(F.broadcast(every))
-    options = F.coalesce("_own", "_pool")
-    drawn = F.element_at(options, (F.pmod(draw, F.size(options).cast("long")) + 1).cast("int"))
-    return j.withColumn("recording", F.when(F.coalesce("_file", F.lit(False)), F.col(request)).otherwise(drawn)).drop("_file", "_own", "_pool")
+    """``recording`` or ``error`` for each request: a drawn one of the pool where it is null or empty, the
+    file that it names, or a drawn recording of the folder that it names.  ``files`` (all files there are)
+    and ``pool`` have ``path``."""
+    every = files.select("path").distinct()
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    folders = every.where(F.size(parts) > 1).select(F.explode(above).alias("_request")).distinct().withColumn("_folder", F.lit(True))
+    recordings = every.where(F.col("path").rlike(rf"\.({kinds})$") & (F.size(parts) > 1)).select(F.regexp_replace("path", r"/[^/]*$", "").alias("_request"), "path")
+    owned, own = numbered(recordings, ["_request"], "path")
+    pooled, whole = numbered(pool, [], "path")
+    known = every.select(F.col("path").alias("_request"), F.lit(True).alias("_file"))
+    j = rows.withColumn("_request", F.nullif(request, F.lit(""))).join(known, "_request", "left").join(folders, "_request", "left").join(own, "_request", "left")
+    j = j.crossJoin(F.broadcast(whole.withColumnsRenamed({"_first": "_pool_first", "_size": "_pool_size"})))  # one row
+    asked, file, folder = F.col("_request").isNotNull(), F.coalesce("_file", F.lit(False)), F.coalesce("_folder", F.lit(False))
+    place = lambda first, size: F.col(first) + F.pmod(draw, F.nullif(F.col(size), F.lit(0)))
+    j = j.withColumn("_own_n", F.when(asked & ~file, place("_first", "_size"))).withColumn("_pool_n", F.when(~asked, place("_pool_first", "_pool_size")))
+    j = j.join(owned.select(F.col("_n").alias("_own_n"), F.col("path").alias("_own")), "_own_n", "left").join(pooled.select(F.col("_n").alias("_pool_n"), F.col("path").alias("_pooled")), "_pool_n", "left")
+    error = (
+        F.when(~asked & F.col("_pooled").isNull(), "the pool is empty")
+        .when(asked & ~file & ~folder, F.concat(F.lit("no such path: "), "_request"))
+        .when(asked & ~file & F.col("_own").isNull(), F.concat(F.lit("no recordings in folder: "), "_request"))
+    )
+    return j.select(*rows.columns, F.when(file, F.col("_request")).otherwise(F.coalesce("_own", "_pooled")).alias("recording"), error.alias("error"))
 
 
 def with_registry(clips: DataFrame, registry: DataFrame, transcripts: DataFrame, speaker: str, path: str) -> DataFrame:

@@ -401,19 +401,22 @@ def segment_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    r"WITH f AS (SELECT 'd' || s_nationkey % 5 AS folder, 'd' || s_nationkey % 5 || '/s' || s_suppkey || CASE WHEN s_suppkey % 4 = 0 THEN '.txt' ELSE '.wav' END AS path FROM supplier), "
-    r"u AS (SELECT * FROM f WHERE path LIKE '%.wav'), o AS (SELECT folder, list_sort(list(DISTINCT path)) AS l FROM u GROUP BY folder), e AS (SELECT list_sort(list(DISTINCT path)) AS l FROM u), "
-    r"q AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'd' || c_nationkey % 5 || '/s' || c_custkey % 100 || '.wav' WHEN 1 THEN 'd' || c_nationkey % 7 ELSE 'none' END AS request FROM customer) "
-    r"SELECT c_custkey, CASE WHEN request IN (SELECT path FROM u) THEN request ELSE coalesce(o.l, e.l)[CAST(c_custkey % len(coalesce(o.l, e.l)) AS BIGINT) + 1] END AS recording FROM q LEFT JOIN o ON q.request = o.folder CROSS JOIN e"
+    r"WITH f AS (SELECT 'd' || s_nationkey % 5 AS folder, 'd' || s_nationkey % 5 || '/s' || s_suppkey || CASE WHEN s_suppkey % 4 = 0 THEN '.txt' ELSE '.wav' END AS path FROM supplier UNION ALL SELECT 'notes', 'notes/a.txt'), "
+    r"u AS (SELECT DISTINCT * FROM f WHERE path LIKE '%.wav'), o AS (SELECT folder, list_sort(list(path)) AS l FROM u GROUP BY folder), e AS (SELECT list_sort(list(path)) AS l FROM u), "
+    r"q AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'd' || c_nationkey % 5 || '/s' || c_custkey % 100 || '.wav' WHEN 1 THEN 'd' || c_nationkey % 7 WHEN 2 THEN '' WHEN 3 THEN 'notes' END AS request FROM customer), "
+    r"r AS (SELECT c_custkey, nullif(request, '') AS request, o.l AS own, e.l AS pool FROM q LEFT JOIN o ON q.request = o.folder CROSS JOIN e) "
+    r"SELECT c_custkey, CASE WHEN request IS NULL THEN pool[CAST(c_custkey % len(pool) AS BIGINT) + 1] WHEN request IN (SELECT path FROM f) THEN request ELSE own[CAST(c_custkey % len(own) AS BIGINT) + 1] END AS recording, "
+    r"CASE WHEN request IS NULL OR request IN (SELECT path FROM f) OR own IS NOT NULL THEN NULL WHEN request IN (SELECT folder FROM f) THEN 'no recordings in folder: ' || request ELSE 'no such path: ' || request END AS error FROM r"
 )
 def speaker_resolver(spark: SparkSession, d: str) -> DataFrame:
-    """A named file, a drawn file of a named folder, or one of all."""
+    """A named file, a drawn file of a named folder, one of all where nothing is asked for, or an error."""
     s, n = F.col("s_suppkey"), (F.col("s_nationkey") % 5).cast("string")
     files = table(spark, d, "supplier").select(F.concat(F.lit("d"), n, F.lit("/s"), s.cast("string"), F.when(s % 4 == 0, ".txt").otherwise(".wav")).alias("path"))
+    files = files.unionByName(spark.createDataFrame([("notes/a.txt",)], "path string"))
     k, c = F.col("c_custkey"), F.col("c_nationkey")
-    request = F.when(k % 3 == 0, F.concat(F.lit("d"), (c % 5).cast("string"), F.lit("/s"), (k % 100).cast("string"), F.lit(".wav"))).when(k % 3 == 1, F.concat(F.lit("d"), (c % 7).cast("string"))).otherwise("none")
+    request = F.when(k % 5 == 0, F.concat(F.lit("d"), (c % 5).cast("string"), F.lit("/s"), (k % 100).cast("string"), F.lit(".wav"))).when(k % 5 == 1, F.concat(F.lit("d"), (c % 7).cast("string"))).when(k % 5 == 2, "").when(k % 5 == 3, "notes")
     asked = table(spark, d, "customer").select("c_custkey", request.alias("request"))
-    return L.resolve_speaker(asked, files, files.where("path like '%.wav'"), "request", k).select("c_custkey", "recording")
+    return L.resolve_speaker(asked, files, files.where("path like '%.wav'"), "request", k).select("c_custkey", "recording", "error")
 
 
 @query(r"SELECT p_partkey, p_brand AS key, CASE WHEN p_partkey % 2 = 0 THEN 'no provider in model name: ' || p_brand END AS error, CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE '' END AS emotions FROM part")
