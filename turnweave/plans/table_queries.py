@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import attempts as AT
 from ..operators import lookups as L
 from ..operators import progress as P
 from ..operators import timeline as TL
+from ..storage import scratch
 from .inputs import LINES, TURNS, lines, table, turns
 
 Q: dict = {}
@@ -358,6 +360,31 @@ def backoff_schedule(spark: SparkSession, d: str) -> DataFrame:
     return spark.range(1, 21).select(F.col("id").alias("attempt"), P.backoff(F.col("id"), 2.0, 300.0).alias("wait_seconds"))
 
 
+@query(
+    r"WITH d AS (SELECT doc_id, ('0x' || substr(md5('call:' || doc_id), 1, 8))::BIGINT AS h FROM documents), x AS (SELECT *, CAST(h % 5 AS INTEGER) AS fails, h % 11 = 0 AS broken FROM d) "
+    r"SELECT doc_id, CASE WHEN broken AND fails < 3 THEN 'fatal' WHEN fails < 3 THEN 'done' ELSE 'exhausted' END AS state, CAST(least(fails + 1, 3) AS INTEGER) AS attempts, "
+    r"CASE WHEN NOT broken AND fails < 3 THEN 'reply ' || doc_id END AS reply, CASE WHEN fails >= 3 THEN 'HTTP 503' WHEN broken THEN 'HTTP 400' END AS error FROM x"
+)
+def retried_calls(spark: SparkSession, d: str) -> DataFrame:
+    """One request for each document to a service that fails in passing 0 to 4 times, and for good for some."""
+    h = X.keyed_draw(F.lit("call"), F.col("doc_id"))
+
+    def service(pending: DataFrame, attempt: int) -> DataFrame:
+        status = F.when(h % 5 >= attempt, 503).when(h % 11 == 0, 400).otherwise(200)
+        failed = status != 200
+        return pending.select("doc_id", F.when(~failed, F.concat(F.lit("reply "), F.col("doc_id").cast("string"))).alias("reply"), status.alias("status"), F.when(failed, F.concat(F.lit("HTTP "), status.cast("string"))).alias("error"))
+
+    return AT.run_attempts(table(spark, d, "documents").select("doc_id"), service, scratch(spark, "attempts"), "doc_id", max_attempts=3, sleep=lambda s: None)
+
+
+@query(r"SELECT doc_id, CASE WHEN lang = 'de' OR lang IS NULL THEN coalesce('heard ' || substr(sha256(text), 1, 8), lang) ELSE lang END AS sentence FROM documents")
+def memo_transcripts(spark: SparkSession, d: str) -> DataFrame:
+    """German documents are clips without a sentence; each distinct text is transcribed once."""
+    clips = table(spark, d, "documents").select("doc_id", F.col("text").alias("content"), F.when(F.col("lang") == "de", " ").otherwise(F.col("lang")).alias("sentence"))
+    service = lambda one: one.select("digest", F.concat(F.lit("heard "), F.substring("digest", 1, 8)).alias("answer"))
+    return AT.fill_once(clips, service, scratch(spark, "transcripts")).select("doc_id", "sentence")
+
+
 @query(
     r"WITH c AS (SELECT DISTINCT conv_id FROM conversations), n AS (SELECT conv_id, 12 + ('0x' || substr(md5('turns:' || conv_id), 1, 8))::BIGINT % 4 AS n FROM c), "
     r"p AS (SELECT conv_id, CAST(unnest(range(n)) AS BIGINT) AS turn FROM n) SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'User' ELSE 'Agent' END AS speaker, "
