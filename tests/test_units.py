@@ -253,6 +253,39 @@ def test_stages(spark):
     assert out["judge"].count() == 24 and out["tts"].count() == turns.sum()
     assert "(emotion" not in out["filler"].first().text
     assert [r.id for r in S.number_scenarios(out["scenario"].where("topic = 'Food'"), 5).orderBy("id").limit(2).collect()] == ["scenario10", "scenario11"]
+    alone = S.run(spark, S.Config(topics=["Travel"], stages=("dialogue", "tts"), scenarios_per_topic=12), given={"scenario": out["scenario"]})
+    assert set(alone) == {"dialogue", "tts"} and alone["tts"].count() == alone["dialogue"].count() == turns.sum()
+    for stages, word in ((("dialogue",), "scenario"), (("export",), "scenario"), (("tts",), "filler or overlap or dialogue")):
+        with pytest.raises(ValueError, match=word):
+            S.run(spark, S.Config(stages=stages))
+    exported = S.run(spark, S.Config(topics=["Travel"], stages=("scenario", "dialogue", "tts", "export"), scenarios_per_topic=12))["export"]
+    assert exported.where("system_prompt is null or description is null").count() == 0
     assert S.choose_topics(" all", ["a"]) == ["a"] and S.choose_topics("b, a,b", ["a", "b"]) == ["b", "a"]
     with pytest.raises(ValueError):
         S.choose_topics("z", ["a"], strict=True)
+
+
+def test_speech_input(spark):
+    """The first stage with texts, by topic; finished dialogues are skipped."""
+    texts = spark.createDataFrame([("a", "dialogue"), ("a", "filler"), ("a", "judge"), ("b", "overlap"), ("b", "dialogue"), ("c", "judge")], "topic string, stage string")
+    topics = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "topic string")
+    pick = lambda r=None: {x.topic: (x.stage, x.error) for x in S.speech_input(texts, topics, r).collect()}
+    none = (None, "no texts for speech in: filler, overlap, dialogue")
+    assert pick() == pick("auto") == {"a": ("filler", None), "b": ("overlap", None), "c": none, "d": none}
+    assert pick(" Overlap ") == {t: ("overlap", None) if t == "b" else (None, "no texts for speech in: overlap") for t in "abcd"}
+    files = [("x", "full.wav"), ("x", "individual/turn_metadata.json"), ("y", "full.wav"), ("z", "full.wav"), ("z", "individual/turn_metadata.json"), ("z", "full_with_overlap_and_pause.wav"), ("y", "full.wav")]
+    outputs = spark.createDataFrame(files, "dialogue_id string, name string")
+    assert {r[0] for r in S.finished(outputs, False).collect()} == {"x", "z"} and {r[0] for r in S.finished(outputs, True).collect()} == {"z"}
+    rows = spark.createDataFrame([("x",), ("y",)], "dialogue_id string")
+    assert {(r.dialogue_id, r.status) for r in S.with_status(rows, S.finished(outputs, False)).collect()} == {("x", "SKIP"), ("y", None)}
+    base = ("scenario", "tts", "export")
+    assert S.stages_for_batch(base, False) == ["scenario", "tts"] and S.stages_for_batch(base, True) == S.stages_for_batch(base, False, True) == list(base)
+
+
+def test_progress_item(spark):
+    rows = [("Topic（Travel） x", " scenario07 ", " d ", None), (None, "Food_scenario3", None, "kept"), ("T", "notes", " n ", None), (" ", "12", "", ""), ("T", None, None, "b")]
+    df = spark.createDataFrame(rows, "t string, s string, d string, b string")
+    got = df.select(*(c.alias(n) for n, c in J.progress_item(F.col("t"), F.col("s"), F.col("d"), F.col("b")).items())).collect()
+    assert [tuple(r) for r in got] == [
+        ("Travel", "scenario7", "Travel_scenario7", "d"), ("unknown", "kept", "unknown_scenario3", ""), ("T", None, "notes", " n "), ("unknown", "scenario12", "unknown_scenario12", ""), ("T", "b", None, None),
+    ]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import canonical_scenario_id, none_if_empty, scenario_index, strip
+from .text import canonical_scenario_id, none_if_empty, scenario_index, scenario_index_in_name, strip, topic_label
 
 OBJECT = "map<string,string>"
 
@@ -79,8 +79,19 @@ def scenarios_error(found: Column, want: int) -> Column:
     )
 
 
-def progress_item(topic: Column, scenario: Column, description: Column, default_topic: str) -> dict[str, Column]:
-    """Old and new progress records in one form."""
-    base = canonical_scenario_id(scenario)
-    label = F.coalesce(none_if_empty(strip(topic)), F.lit(default_topic))
-    return {"topic": label, "base_scenario_id": base, "scenario_id": F.concat_ws("_", label, base), "description": F.coalesce(strip(description), F.lit(""))}
+def progress_item(topic: Column, scenario: Column, description: Column, base: Column | None = None) -> dict[str, Column]:
+    """Old and new progress records in one form: ``scenario_id`` under the topic's label, ``base_scenario_id`` without it.
+
+    The label is what full-width parentheses of the topic enclose, else the topic itself.  Records whose
+    scenario has no index stay as they are; a ``base`` that they have already is kept.
+    """
+    raw = strip(scenario)
+    index = F.coalesce(scenario_index_in_name(raw), scenario_index_in_name(canonical_scenario_id(raw)))
+    own = F.concat(F.lit("scenario"), index.cast("string"))
+    none = F.lit(None).cast("string") if base is None else none_if_empty(base)
+    return {
+        "topic": topic_label(topic),
+        "base_scenario_id": F.coalesce(none, own),
+        "scenario_id": F.when(index.isNull(), scenario).otherwise(F.concat_ws("_", topic_label(topic), own)),
+        "description": F.when(index.isNull(), description).otherwise(F.coalesce(strip(description), F.lit(""))),
+    }

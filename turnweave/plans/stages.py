@@ -54,6 +54,8 @@ class Config:
     emotion_rate: float = 0.5
     top_x: int = 1
     emotions: list[str] = field(default_factory=lambda: ["happy", "sad", "angry", "calm"])
+    input_stage: str | None = None
+    needs_effects: bool = False
     generator: Generator = field(default_factory=StubGenerator)
     synthesizer: Synthesizer = field(default_factory=StubSynthesizer)
 
@@ -150,26 +152,101 @@ def export_topics(by_topic: list[DataFrame], path: str | None = None) -> DataFra
     return whole
 
 
-def run(spark: SparkSession, cfg: Config, on_stage: Callable[[str, DataFrame], None] | None = None) -> dict[str, DataFrame]:
-    """The enabled stages, lazily composed."""
+#: Stages whose texts speech can be made from, the preferred first.  Fixed values.
+SPEECH_INPUTS = ("filler", "overlap", "dialogue")
+#: Outputs that make a dialogue finished; the last only where its mix is asked for.  Fixed values.
+OUTPUTS = ("full.wav", "individual/turn_metadata.json", "full_with_overlap_and_pause.wav")
+
+
+def stages_for_batch(stages: tuple[str, ...], final: bool, export_every_batch: bool = False) -> list[str]:
+    """The stages of one batch: the export waits for the final one unless asked for every time."""
+    return [s for s in stages if s != "export" or final or export_every_batch]
+
+
+def speech_input(texts: DataFrame, topics: DataFrame, requested: str | None = None) -> DataFrame:
+    """``topic, stage, error``: which stage's texts each topic is spoken from.
+
+    A requested stage must have texts; else the first of ``SPEECH_INPUTS`` that has any counts.
+    ``texts`` has ``topic, stage`` and only its distinct pairs are shuffled.
+    """
+    asked = (requested or "").strip().lower()
+    order = (asked,) if asked in SPEECH_INPUTS else SPEECH_INPUTS
+    rank = F.array_position(F.array(*map(F.lit, order)), F.col("stage"))
+    best = texts.where(rank > 0).groupBy("topic").agg(F.min_by("stage", rank).alias("stage"))
+    chosen = topics.select("topic").distinct().join(best, "topic", "left")
+    return chosen.withColumn("error", F.when(F.col("stage").isNull(), F.lit("no texts for speech in: " + ", ".join(order))))
+
+
+def finished(outputs: DataFrame, needs_effects: bool, key: str = "dialogue_id") -> DataFrame:
+    """Dialogues that have all their outputs; ``outputs`` has ``key`` and ``name``, one row a file."""
+    need = OUTPUTS if needs_effects else OUTPUTS[:2]
+    return outputs.where(F.col("name").isin(*need)).groupBy(key).agg(F.count_distinct("name").alias("_n")).where(F.col("_n") == len(need)).select(key)
+
+
+def with_status(rows: DataFrame, done: DataFrame, key: str = "dialogue_id") -> DataFrame:
+    """``status``: SKIP where the dialogue is finished, else null."""
+    have = done.select(key).distinct().withColumn("_done", F.lit(True))
+    return rows.join(have, key, "left").withColumn("status", F.when(F.col("_done"), "SKIP")).drop("_done")
+
+
+def _text_turns(texts: DataFrame) -> DataFrame:
+    """Turns of a rewritten text; lines without a colon are dropped."""
+    lined = texts.select("topic", "scenario_id", F.posexplode(F.split("text", "\n")).alias("_p", "_line")).where(F.col("_line").contains(":"))
+    p = X.parse_line(F.col("_line"))
+    w = Window.partitionBy("topic", "scenario_id").orderBy("_p")
+    return lined.select("topic", "scenario_id", (F.row_number().over(w) - 1).cast("long").alias("turn_index"), p["role"].alias("role"), p["content"].alias("content"))
+
+
+def _lines(turns: DataFrame) -> DataFrame:
+    item = F.struct("turn_index", F.concat("role", F.lit(": "), "content").alias("line"))
+    return turns.groupBy("topic", "scenario_id").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["line"]).alias("lines"))
+
+
+def run(spark: SparkSession, cfg: Config, on_stage: Callable[[str, DataFrame], None] | None = None, given: dict[str, DataFrame] | None = None, outputs: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The enabled stages, lazily composed; returns their results.
+
+    ``given`` holds results of earlier runs, by stage, for stages that aren't chosen; a stage
+    whose input is neither chosen nor given is an error that names it.  ``outputs`` (``dialogue_id, name``)
+    are files that are there already: finished dialogues are not spoken again.  Fillers are written
+    into overlap's texts where there are any, and speech is made from ``cfg.input_stage`` or
+    the last text stage there is.
+    """
+    have: dict[str, DataFrame] = dict(given or {})
     out: dict[str, DataFrame] = {}
+
+    def need(stage: str, *names: str) -> DataFrame:
+        for n in names:
+            if n in have:
+                return have[n]
+        raise ValueError(f"stage {stage} needs the result of {' or '.join(names)}: choose it or give it")
+
     for name in cfg.enabled():
         if name == "scenario":
-            out[name] = scenarios(spark, cfg)
+            res = scenarios(spark, cfg)
         elif name == "system_prompt":
-            out[name] = system_prompts(out["scenario"], None, cfg)
+            res = system_prompts(need(name, "scenario"), have.get("system_prompt"), cfg)
+            if "system_prompt" in have:
+                res = have["system_prompt"].unionByName(res, allowMissingColumns=True)
         elif name == "dialogue":
-            out[name] = dialogues(out["scenario"], cfg)
+            res = dialogues(need(name, "scenario"), cfg)
         elif name in ("overlap", "filler"):
-            last = out["dialogue"].groupBy("topic", "scenario_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn_index", F.concat("role", F.lit(": "), "content").alias("line")))), lambda x: x["line"]).alias("lines"))
-            out[name] = last.select("topic", "scenario_id", rewrite(F.col("lines"), name == "filler").alias("text"))
+            lines = have["overlap"].withColumn("lines", F.split("text", "\n")) if name == "filler" and "overlap" in have else _lines(need(name, "dialogue"))
+            res = lines.select("topic", "scenario_id", rewrite(F.col("lines"), name == "filler").alias("text"))
         elif name == "judge":
-            rows = out["dialogue"].select("topic", "scenario_id").distinct().withColumn("path", F.concat_ws("/", "topic", "scenario_id"))
-            out[name] = judge(rows.withColumn("reply", F.concat(F.lit("Score: "), (X.keyed_draw(F.lit("score"), F.col("path")) % 10).cast("string"))), cfg)
+            rows = need(name, "dialogue").select("topic", "scenario_id").distinct().withColumn("path", F.concat_ws("/", "topic", "scenario_id"))
+            res = judge(rows.withColumn("reply", F.concat(F.lit("Score: "), (X.keyed_draw(F.lit("score"), F.col("path")) % 10).cast("string"))), cfg)
         elif name == "tts":
-            out[name] = speech(out["dialogue"].withColumn("dialogue_id", X.dialogue_id(F.col("topic"), F.lit("normal"), X.scenario_index(F.col("scenario_id")), F.lit(None))), None, cfg)
-        elif name == "export":
-            out[name] = export(out["tts"], out["scenario"], out.get("system_prompt", system_prompts(out["scenario"], None, cfg)))
+            asked = (cfg.input_stage or "").strip().lower()
+            names = (asked,) if asked in SPEECH_INPUTS else SPEECH_INPUTS
+            source = next((n for n in names if n in have), None)
+            need(name, *names)
+            turns = have[source] if source == "dialogue" else _text_turns(have[source])
+            named = turns.withColumn("dialogue_id", X.dialogue_id(F.col("topic"), F.lit("normal"), X.scenario_index(F.col("scenario_id")), F.lit(None)))
+            res = speech(named, None if outputs is None else finished(outputs, cfg.needs_effects), cfg)
+        else:
+            found = need(name, "scenario")
+            res = export(need(name, "tts"), found, have["system_prompt"] if "system_prompt" in have else system_prompts(found, None, cfg))
+        have[name] = out[name] = res
         if on_stage:
-            on_stage(name, out[name])
+            on_stage(name, res)
     return out

@@ -189,12 +189,18 @@ def scenario_json_normalize(spark: SparkSession, d: str) -> DataFrame:
     return found.select("event_id", F.array_join(F.transform("s", lambda x: F.concat(x["id"], F.lit("="), x["description"])), ";").alias("found"), J.scenarios_error(F.col("s"), 2).alias("error"))
 
 
-@query(r"SELECT doc_id, source || '_x' AS topic, 'scenario' || doc_id AS base_scenario_id, source || '_x_scenario' || doc_id AS scenario_id, lang AS description FROM documents WHERE doc_id % 2 = 0 "
-       r"UNION ALL SELECT doc_id, 'General', 'scenario' || doc_id, 'General_scenario' || doc_id, '' FROM documents WHERE doc_id % 2 = 1")
+@query(
+    r"WITH d AS (SELECT doc_id, source, lang, doc_id % 4 AS k, coalesce(source, 'unknown') AS label FROM documents) "
+    r"SELECT doc_id, label AS topic, CASE WHEN k < 3 THEN 'scenario' || doc_id END AS base_scenario_id, CASE WHEN k < 3 THEN label || '_scenario' || doc_id ELSE 'notes' END AS scenario_id, "
+    r"CASE WHEN k = 3 THEN lang ELSE coalesce(lang, '') END AS description FROM d"
+)
 def progress_items(spark: SparkSession, d: str) -> DataFrame:
-    even = F.col("doc_id") % 2 == 0
-    p = J.progress_item(F.when(even, F.concat("source", F.lit("_x"))), F.when(even, F.concat("source", F.lit("_scenario"), F.col("doc_id").cast("string"))).otherwise(F.col("doc_id").cast("string")), F.when(even, F.col("lang")), "General")
-    return table(spark, d, "documents").select("doc_id", *(c.alias(n) for n, c in p.items()))
+    """Plain and labelled topics; numbers, names with a prefix and without, and a record without an index."""
+    k, n = F.col("doc_id") % 4, F.col("doc_id").cast("string")
+    topic = F.when(k == 0, F.concat(F.lit(" Topic（"), "source", F.lit("）"))).otherwise(F.col("source"))
+    scenario = F.when(k == 0, n).when(k == 1, F.concat(F.lit(" "), F.coalesce("source", F.lit("x")), F.lit("_scenario"), n)).when(k == 2, F.concat(F.lit("scenario"), n)).otherwise("notes")
+    p = J.progress_item(topic, scenario, F.col("lang"))
+    return table(spark, d, "documents").select("doc_id", *(c.alias(x) for x, c in p.items()))
 
 
 @query(r"SELECT p_partkey, '[accent](' || p_brand || ') ' || p_name AS prompt, p_brand || '|' || p_brand || ' ' || p_type || '|' || p_brand || ' ' || p_type || ' ' || p_name AS growing, 'Use happy、sad for ' || p_name AS filled FROM part")
