@@ -114,5 +114,7 @@ def fill_once(clips: DataFrame, call: Callable[[DataFrame], DataFrame], path: st
     one = todo.groupBy("digest").agg(F.first("content").alias("content"))
     call(one).select("digest", F.col("answer").cast("string").alias("answer")).write.mode("append").parquet(path)
     memo = spark.read.schema(schema).parquet(path).groupBy("digest").agg(F.max("answer").alias("_answer"))
-    filled = keyed.join(memo.withColumnRenamed("digest", "_digest"), "_digest", "left")
-    return filled.withColumn(value, F.when(blank, F.coalesce("_answer", value)).otherwise(F.col(value))).select(*clips.columns)
+    # clips that ask for nothing have no digest, and take no part in the join
+    asking = keyed.where("_digest is not null").join(memo.withColumnRenamed("digest", "_digest"), "_digest", "left")
+    filled = asking.withColumn(value, F.coalesce("_answer", value)).select(*clips.columns)
+    return filled.unionByName(keyed.where("_digest is null").select(*clips.columns))
