@@ -3,10 +3,10 @@
 import duckdb
 import pytest
 
-from turnweave.plans import audio_queries, table_queries, text_queries
+from turnweave.plans import audio_queries, export_queries, table_queries, text_queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-ALL = {k: (f, m.SQL.get(k)) for m in (text_queries, table_queries, audio_queries) for k, f in m.Q.items()}
+ALL = {k: (f, m.SQL.get(k)) for m in (text_queries, table_queries, audio_queries, export_queries) for k, f in m.Q.items()}
 
 
 @pytest.fixture(scope="module")

@@ -137,3 +137,14 @@ def zip_segments(segments: DataFrame, metadata: DataFrame, key: str, order: str,
     w = Window.partitionBy(key).orderBy(order)
     place = F.when(~skipped, F.sum(F.when(skipped, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     return segments.withColumn("place", place).join(metadata, [key, "place"], "left")
+
+
+def zipped(texts: DataFrame, tags: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
+    """``texts`` with the tag at the same place of their key: both are counted in ``order``, ties by the
+    value.  A text beyond the last tag has null; tags beyond the last text are left out."""
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_place", F.row_number().over(Window.partitionBy(*key).orderBy(order, value)))
+
+    other = placed(tags.select(*key, order, value)).select(*key, "_place", F.col(value).alias("tag"))
+    return placed(texts).join(other, [*key, "_place"], "left").drop("_place")

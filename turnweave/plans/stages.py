@@ -6,8 +6,9 @@ ones call services; the stubs here are deterministic and say so in what they ret
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -67,6 +68,51 @@ class Config:
         return [s for s in ORDER if s in self.stages]
 
 
+def merged_settings(*layers: dict) -> dict:
+    """Nested settings, later layers over earlier ones; ``${a.b}`` in a text stands for another setting.  A
+    reference to none, or in a circle, is an error."""
+
+    def merge(low: dict, high: dict) -> dict:
+        both = {k: merge(low[k], v) if isinstance(v, dict) and isinstance(low.get(k), dict) else v for k, v in high.items()}
+        return {**low, **both}
+
+    whole: dict = {}
+    for layer in layers:
+        whole = merge(whole, layer)
+
+    def settle(value: object, path: tuple[str, ...]) -> object:
+        if isinstance(value, dict):
+            return {k: settle(v, path) for k, v in value.items()}
+        if isinstance(value, (list, tuple)):
+            return type(value)(settle(v, path) for v in value)
+        if not isinstance(value, str):
+            return value
+        alone = re.fullmatch(r"\$\{([^${}]+)\}", value)
+        if alone:  # keeps its kind
+            return named(alone[1].strip(), path)
+        return re.sub(r"\$\{([^${}]+)\}", lambda m: str(named(m[1].strip(), path)), value)
+
+    def named(key: str, path: tuple[str, ...]) -> object:
+        if key in path:
+            raise ValueError(f"settings refer to each other in a circle: {' > '.join((*path, key))}")
+        at: object = whole
+        for part in key.split("."):
+            if not isinstance(at, dict) or part not in at:
+                raise ValueError(f"no setting: {key}")
+            at = at[part]
+        return settle(at, (*path, key))
+
+    return settle(whole, ())
+
+
+def config_of(settings: dict) -> Config:
+    """A ``Config`` from settings; unknown names are an error, lists fill tuples."""
+    known = {f.name for f in fields(Config)}
+    if unknown := set(settings) - known:
+        raise ValueError(f"unknown settings: {sorted(unknown)}")
+    return Config(**{k: tuple(v) if k in ("stages", "turns") else v for k, v in settings.items()})
+
+
 def choose_topics(requested: str | None, available: list[str], strict: bool = False) -> list[str]:
     """Null, blank, ``auto`` and ``all`` mean all; else a comma-separated list."""
     if requested is None or requested.strip().lower() in ("", "auto", "all"):

@@ -102,3 +102,19 @@ def largest_index(names: DataFrame, column: str) -> DataFrame:
 def partitions_with_rows(rows: DataFrame, key: str) -> DataFrame:
     """Keys that have any row: the topics that can be exported."""
     return rows.select(key).where(F.col(key).isNotNull()).distinct()
+
+
+def discover_topics(spark: SparkSession, run_root: str, data_root: str, mode: str = "normal", fallback_root: str | None = None, hidden: bool = False) -> DataFrame:
+    """``topic``: the folders of ``run_root/data_root/mode``, or of ``fallback_root`` in place of ``data_root`` where
+    that is not there.  No such folder, or one without topics, is an error.  Only folder names are read."""
+    bases = [f"{run_root.rstrip('/')}/{r.strip('/')}/{mode}" for r in (data_root, fallback_root) if r]
+    for base in bases:
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            names = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+            names = [n for n in names if hidden or not n.startswith(".")]
+            if not names:
+                raise ValueError(f"no topics under: {base}")
+            return spark.createDataFrame([(n,) for n in names], "topic string")
+    raise FileNotFoundError(f"no folder of topics: {' or '.join(bases)}")
