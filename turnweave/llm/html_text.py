@@ -10,6 +10,10 @@ stop words are *good*; long ones with some, *near*; the rest is *short* or, wher
 long without stop words, *bad* - but inside an article or main element such blocks are
 *short*, since tables and lists there have few stop words.
 
+Where a page's running text has hardly any stop word of the languages known here, length, links and
+the ends of sentences take their place.  Headings are told by class only where that is a
+plain name of surroundings, and an article's sections not by ids that name their subject.
+
 Pass 2 decides *near* and then *short* blocks by the nearest decided neighbours on both
 sides: they inherit the label that both have; where these differ, a *near* block is good
 and a *short* one bad.  Blocks of an article only look at blocks of articles, and are good unless they
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +41,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow_limits, read
 
-TAG = re.compile(r"<(?:!--(?P<comment>)|(?P<close>/)?(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]{0,5000}\"|'[^']{0,5000}')*+)>|[!?/](?P<other>[^>]*)>)")
+_TAG = r"<(?:!--(?P<comment>)|(?P<close>/)?(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]%s\"|'[^']%s')*+)>|[!?/](?P<other>[^>]*)>)"
+TAG, NEAR_TAG = re.compile(_TAG % ("*", "*")), re.compile(_TAG % ("{0,5000}", "{0,5000}"))
+#: After so many tags that the page's end leaves open inside quotes, quotes are followed 5,000 characters only.
+OPEN_QUOTES = 50
 LOOSE = re.compile(r"<(?P<close>/)?(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>[^>]*)>")
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
@@ -49,14 +57,23 @@ BLOCKS = set(
 )
 BAD = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "svg", "canvas", "object", "audio", "video", "head", "search", "fieldset"}
 BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar", "form", "note", "status", "button"}
-#: A class or id names a surrounding when one of its words is, or begins with and a separator after, one of these.
-BAD_NAMES = re.compile(
-    r"(?:^|\s)(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promo(?:s|tion|tions)?|banners?|cookies?|consent|gdpr|ccpa|privacy|notices?|alerts?|"
-    r"nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|side-?bar|side|footer|foot|masthead|topbar|site-?header|page-?header|header|toolbar|"
-    r"comments?|commentlist|disqus|respond|repl(?:y|ies)|discussion|shar(?:e|ing)|social|related|recommend(?:ed|ations?)?|newsletter|subscribe|subscription|signup|sign-up|login|"
-    r"popups?|modals?|overlay|widgets?|pagination|pager|paywall|skip-link|hidden|sr-only|visually-hidden|copyright|legal|disclaimer|tags|meta-?nav)(?:[-_\d][\w-]*)?(?=\s|$)",
-    re.I,
+#: Words that begin the classes and ids of surroundings, alone or before a separator.
+_STRONG = (
+    r"ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|cookies?|gdpr|ccpa|nav|navbar|menus?|breadcrumbs?|sidebars?|side-bar|footer|masthead|topbar|site-?header|page-?header|"
+    r"toolbar|comments?|commentlist|disqus|respond|repl(?:y|ies)|share|newsletter|subscribe|signup|sign-up|login|popups?|modals?|overlay|widgets?|pagination|pager|paywall|skip-link|sr-only|visually-hidden|meta-?nav"
+)
+#: The same, but these may also be what a text is about: with another word they count only where that is one of layout.
+_WEAK = r"side|foot|header|banners?|consent|privacy|notices?|alerts?|navigation|discussion|sharing|social|related|recommend(?:ed|ations?)?|promotions?|subscription|hidden|copyright|legal|disclaimer|tags"
+_LAYOUT = (
+    r"bar|box|wrap|wrapper|container|inner|outer|block|list|links?|area|section|widget|panel|items?|content|nav|menu|row|col|column|text|title|heading|header|footer|icons?|buttons?|btn|message|msg|"
+    r"notice|policy|banner|overlay|popup|modal|posts?|articles?|stories|topics|news|reads?|reading|products|follow|logo|search|image|img|top|bottom|left|right|main|page|site|primary|secondary|media|share|"
+    r"form|group|cloud|meta|info|body|warning|danger|success|error|dismissible|fixed|sticky|hidden|visible|active|open|light|dark|small|large|[a-z]*\d+"
 )
+BAD_NAMES = re.compile(rf"(?:^|\s)(?:(?:{_STRONG})(?:[-_\d][\w-]*)?|(?:{_WEAK})(?:\d+|(?:[-_][\w-]*)?[-_](?:{_LAYOUT}))?)(?=\s|$)", re.I)
+STRONG_NAMES = re.compile(rf"(?:^|\s)(?:{_STRONG}|related|social|sharing)(?:[-_\d][\w-]*)?(?=\s|$)", re.I)
+#: Sections of an article about relations and the like.
+ABOUT = re.compile(rf"(?:^|\s)(?:related|social|sharing)[-_](?!(?:[\w-]*[-_])?(?:{_LAYOUT})(?:\s|$))[\w-]+", re.I)
+_HEADING = re.compile(r"h[1-6]")
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 #: Frequent function words of some languages.
@@ -72,6 +89,7 @@ STOP_WORDS = frozenset(
     "che di da dal della gli il nel non per sono che het een van zijn niet op te voor met aan er ook maar dat deze os das dos uma um não ao com mais na nas nos pela pelo".split()
 )
 STOP_LOW, STOP_HIGH, LINKED, LONG, LENGTH = 0.15, 0.30, 0.3, 200, 70
+SENTENCE = re.compile(r"[.!?…。！？।؟۔]")
 _TRIM = " .,;:!?\"'()[]*$%&#|"
 
 
@@ -97,8 +115,14 @@ def _surrounding(name: str, attrs: str, in_article: bool) -> bool:
             return True
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and HIDING.search(value)):
             return True
-        if key in ("class", "id") and name not in ("html", "body", "main", "article") and BAD_NAMES.search(value):
-            return True
+        if key in ("class", "id") and name not in ("html", "body", "main", "article"):
+            # an id of a heading or of an article's section is what it is about
+            anchor = name == "section" and in_article and key == "id"
+            if _HEADING.fullmatch(name):
+                if key == "class" and STRONG_NAMES.search(value):
+                    return True
+            elif (STRONG_NAMES if anchor else BAD_NAMES).search(value) and not (anchor and ABOUT.search(value)):
+                return True
     return False
 
 
@@ -111,9 +135,15 @@ def page_blocks(html: str) -> list[Block]:
     heading = False
     article = bad = False
     at, n = 0, len(html)
+    opened: Counter[str] = Counter()  # how many of each element the stack has
+    skipped, depth, floor = "", 0, 0  # an inline surrounding, how often it is nested, and the stack's height there
+    ends: dict[str, int] = {}  # where the last end tag of an element's name is
+    open_quotes = 0
 
     def add(text: str) -> None:
         nonlocal linked
+        if skipped:
+            return
         if "&" in text:
             text = entities.unescape(text)
         parts.append(text)
@@ -136,7 +166,10 @@ def page_blocks(html: str) -> list[Block]:
             break
         if lt > at:
             add(html[at:lt])
-        m = TAG.match(html, lt) or LOOSE.match(html, lt)
+        m = (TAG if open_quotes < OPEN_QUOTES else NEAR_TAG).match(html, lt)
+        if m is None:
+            m = LOOSE.match(html, lt)
+            open_quotes += m is not None
         if m is None:
             if html.startswith("<", lt) and lt + 1 < n and (html[lt + 1].isalpha() or html[lt + 1] in "/!?") and html.find(">", lt) < 0:
                 break  # a tag that the page's end cuts off
@@ -154,14 +187,22 @@ def page_blocks(html: str) -> list[Block]:
         if m["close"]:
             if name == "a":
                 in_link = False
+            if name == skipped:
+                depth -= 1
+                if not depth:
+                    skipped, floor = "", 0
             if name in BLOCKS:
                 flush()
                 if name[0] == "h" and name[1:].isdigit():
                     heading = False
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        del stack[i:]
-                        break
+                if opened[name]:
+                    while True:
+                        gone_name = stack.pop()[0]
+                        opened[gone_name] -= 1
+                        if gone_name == name:
+                            break
+                if len(stack) < floor:
+                    skipped, floor = "", 0
                 _, article, bad = stack[-1] if stack else ("", False, False)
             continue
         if name in RAW:
@@ -183,20 +224,28 @@ def page_blocks(html: str) -> list[Block]:
             elif name != "hr":
                 heading = heading and name not in ("p", "div", "section", "article", "ul", "ol", "table")
             if name == "body":  # a head without an end stops here
-                stack = [s for s in stack if s[0] != "head"]
+                if opened["head"]:
+                    stack = [s for s in stack if s[0] != "head"]
+                    opened["head"] = 0
+                    skipped, floor = "", 0
                 article = bad = False
             if name not in ("p", "hr") and name not in VOID and not attrs.endswith("/"):
-                gone = bad or _surrounding(name, attrs, article)
+                gone = bad or bool(skipped) or _surrounding(name, attrs, article)
                 article = article or name in ("article", "main") or "articleBody" in attrs
                 bad = gone
                 stack.append((name, article, bad))
+                opened[name] += 1
                 if name in ("li", "td", "th", "dd", "dt", "option", "tr") and len(stack) > 1 and stack[-2][0] == name:
                     del stack[-2]  # the one before was left open
-        elif name not in VOID and attrs and not attrs.endswith("/") and _surrounding(name, attrs, article) and name not in ("b", "i", "em", "strong"):
-            # an inline element of that kind: skipped up to its end
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-            if end and name != "a":
-                at = end.end()
+                    opened[name] -= 1
+        elif name == skipped:
+            depth += not attrs.endswith("/")
+        elif not skipped and name not in VOID and name != "a" and attrs and not attrs.endswith("/") and name not in ("b", "i", "em", "strong") and _surrounding(name, attrs, article):
+            # an inline element of that kind goes up to its end, or that of the block around it; one without an end stays
+            if name not in ends:
+                ends[name] = max((e.start() for e in re.finditer(rf"</{re.escape(name)}\s*>", html, re.I)), default=-1)
+            if ends[name] >= at:
+                skipped, depth, floor = name, 1, len(stack)
     flush()
     return out
 
@@ -206,7 +255,20 @@ def stop_share(text: str) -> float:
     return sum(w.strip(_TRIM) in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
-def first_pass(b: Block) -> str:
+def weight(text: str) -> int:
+    """Characters, those of scripts without blanks between words counting three times."""
+    return len(text) + 2 * sum(c >= "\u2e80" for c in text) if not text.isascii() else len(text)
+
+
+def foreign(blocks: list[Block]) -> bool:
+    """Whether a page's running text is in no language with stop words here."""
+    texts = [b.text for b in blocks if not b.bad and b.linked <= LINKED * len(b.text) and weight(b.text) >= LENGTH]
+    return bool(texts) and stop_share(" ".join(texts)) < STOP_LOW / 3
+
+
+def first_pass(b: Block, unknown: bool = False) -> str:
+    if unknown:
+        return _by_length(b)
     density = b.linked / max(1, len(b.text))
     if b.bad or density > (0.8 if b.article else LINKED):
         return "bad"
@@ -222,6 +284,17 @@ def first_pass(b: Block) -> str:
     return "bad" if "\xa9" in b.text or share < STOP_LOW / 3 else "short"
 
 
+def _by_length(b: Block) -> str:
+    """The label in a language without stop words: by length, links and the ends of sentences."""
+    if b.bad or b.linked / max(1, len(b.text)) > (0.8 if b.article else LINKED) or "\xa9" in b.text:
+        return "bad"
+    if weight(b.text) < LENGTH:
+        return "short" if b.article or not b.linked else "bad"
+    if not SENTENCE.search(b.text):
+        return "short"
+    return "good" if weight(b.text) > LONG else "near"
+
+
 def _nearest(labels: list[str], own: list[int]) -> dict[int, tuple[str, str]]:
     """The labels of the nearest decided blocks before and after each of ``own``."""
     out, last = {}, ""
@@ -237,7 +310,8 @@ def _nearest(labels: list[str], own: list[int]) -> dict[int, tuple[str, str]]:
 
 def second_pass(blocks: list[Block]) -> list[bool]:
     """Whether each block is main text."""
-    labels = [first_pass(b) for b in blocks]
+    unknown = foreign(blocks)
+    labels = [first_pass(b, unknown) for b in blocks]
     for inside in (True, False):
         own = [i for i, b in enumerate(blocks) if b.article is inside and not b.bad]
         sides = _nearest(labels, own)
