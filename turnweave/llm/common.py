@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,26 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The columns of ``documents``, which stages read by name.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def any_columns(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that lets further columns of any name through, whatever names it uses inside: they
+    have neutral names meanwhile."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        neutral = [n if n in DOCUMENT else f"further{i}__" for i, n in enumerate(names)]
+        if neutral == names:
+            return stage(spark, docs, sf_dir)
+        out = stage(spark, docs.toDF(*neutral), sf_dir)
+        return out.toDF(*names) if out.columns == neutral else out
+
+    return run
+
+
 #: Arrow batches stop at this size; a longer row is a batch of its own.
 BATCH_BYTES = 4 << 20
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpoint_dir, drop_path, read, scratch, spill, spilled
+from .common import any_columns, checkpoint_dir, drop_path, read, scratch, spill, spilled
 
 SPACE = " \t\n\x0b\x0c\r"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -121,8 +121,10 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM r
 """
 
 
+@any_columns
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that stay, with their own columns."""
+    """The documents that stay, with their own columns: of equal texts one row, repeated rows and rows
+    without an id included; null and empty texts are equal.  An empty table gives none."""
     columns = docs.columns
     kept = stream_dedup(docs).where("kept").select(F.col("at").alias("_at"))
     return located(docs).join(kept, "_at", "left_semi").select(*columns)

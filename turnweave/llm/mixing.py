@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, read, spill
+from .common import any_columns, materialize, read, spill
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -147,8 +147,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", F.col("target").cast("double").alias("target"), "taken", "rate", "copies")
 
 
+@any_columns
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents, each as often as the mix takes it."""
+    """The documents, each as often as the mix takes it, with their own columns.  Rows without an id, source or
+    text take part as rows of their own; an empty table gives none."""
     mix = entropy_mix(docs.withColumn("_whole", F.struct(*docs.columns)), keep=("_whole",))
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
     return mix.where("copies > 0").select("_whole.*", copies.alias("_copy")).drop("_copy").select(*docs.columns)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, components, drop_path, materialize, mix64, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
+from .common import any_columns, arrow_limits, components, drop_path, materialize, mix64, read, shingle_hashes, spill, spilled, text_buffers, word_hashes
 
 BANDS, ROWS = 24, 4
 BATCH = 16
@@ -427,6 +427,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@any_columns
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without all but one of each group of near duplicates.  Rows without an id
     stay where their group has no document with one: one row of each such group, and empty texts."""

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, read, spill
+from .common import any_columns, arrow_limits, read, spill
 
 WORDS = r"[^\x20\x09-\x0D]+"
 CAPACITIES = (256, 512, 1024, 2048, 4096)
@@ -131,7 +131,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(F.col("id").alias("doc_id"), "piece", F.col("at").alias("first_word"), F.col("length").alias("n_words"), "shard", "bin", "capacity", "bin_used", "start")
 
 
+@any_columns
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
+    """The pieces of all documents with their sequences.  Texts without words, null or empty, have one empty piece;
+    repeated rows and rows without an id are packed like others.  An empty table gives none."""
     packed = best_fit(docs)
     return packed.select(F.col("id").alias("doc_id"), "piece", F.col("at").alias("first_word"), F.col("length").alias("n_words"), "shard", "bin", "capacity", "bin_used", "start")

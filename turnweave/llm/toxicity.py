@@ -35,7 +35,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, read, whole_texts
+from .common import any_columns, arrow_limits, read, whole_texts
 
 STRIP = " .,;:!?|*$%&#()[]{}<>\"'`~_-+=/\\"
 LEVEL, CODE, MEMO = 9, 4, 400_000
@@ -245,8 +245,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+@any_columns
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents below the threshold."""
+    """The documents below the threshold, with their own columns; repeated rows and rows without an id are
+    judged like others.  Without labels of both kinds nothing can be told, and all documents stay."""
     arrow_limits(spark)
     model = train(docs, read(spark, sf_dir, "labels"))
+    if model.rate is not None:
+        return docs
     return docs.withColumn("_score", scorer(model)("text")).where(F.col("_score") < THRESHOLD).select(*docs.columns)
