@@ -4,6 +4,7 @@ import io
 import math
 import random
 import struct
+import time
 import wave
 
 import numpy as np
@@ -228,6 +229,40 @@ def test_alignment(spark, dialogues):
         assert r.found == lo + int(np.flatnonzero(corr >= corr.max() * (1 - A.TIE))[0]) and math.isclose(r.value, corr.max(), rel_tol=1e-6, abs_tol=1e-9), (conv, seg, n)
 
 
+@pytest.mark.parametrize("size", [{}, {"stretch": 600, "part": 250, "most": 3000}])
+def test_alignment_of_files_made_late(spark, dialogues, size, monkeypatch):
+    """As ``align``, with files made where they are heard: groups of a whole mix, or of short stretches and
+    few clips, which are searched for in parts."""
+    df, rows, _ = dialogues
+    monkeypatch.setattr(O, "PLACES", 300)
+    tiles, totals, p = tiles_of(df, 512, 300)
+    rng = np.random.default_rng(6)
+    asked = spark.createDataFrame([(r[0], r[1], int(rng.integers(-100, 6000))) for r in rows], "conv_id long, seg int, expected long")
+    clips = df.select("conv_id", "seg", "channel", "frames", "content").join(asked, ["conv_id", "seg"])
+    want = {(r.conv_id, r.seg): r for r in O.align(clips, tiles, totals, reach=700, tile=512, block=300).collect()}
+    files = df.select("conv_id", "seg", F.base64("content").alias("small"))
+    late = lambda x: x.withColumn("content", F.unbase64("small"))
+    got = O.align_files(files, late, clips.drop("content"), p, reach=700, **size).collect()
+    assert len(got) == len(want) > 20
+    for r in got:
+        w = want[r.conv_id, r.seg]
+        assert r.found == w.found and math.isclose(r.value, w.value, rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_alignment_shuffles_no_samples(spark, sf_dir):
+    """What the query shuffles stays below the bytes of its samples, which are over 30 times the texts."""
+
+    def written():
+        time.sleep(0.5)
+        e = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(e.apply(i).totalShuffleWrite() for i in range(e.size()))
+
+    heard = Q.decoded_audio(spark, sf_dir).agg(F.sum("frames")).head()[0] * 4
+    before = written()
+    assert Q.align_backfill(spark, sf_dir).count() > 0
+    assert 0 < written() - before < heard / 10
+
+
 def test_correlate():
     rng = np.random.default_rng(2)
     for n, m in [(10, 10), (5000, 3), (9000, 4500), (20000, 1000)]:

@@ -30,19 +30,29 @@ heard AS (SELECT *, broken AND own > 0 AS cut, CASE WHEN broken AND own > 0 THEN
 )
 
 
-def clips(spark: SparkSession, d: str) -> DataFrame:
-    """``conv_id, seg, role, is_user, h, content``: one WAV file for each line."""
+def clip_texts(spark: SparkSession, d: str) -> DataFrame:
+    """``conv_id, seg, role, is_user, h, text``: what each line's WAV file is made of."""
+    return lines(spark, d).select("conv_id", F.col("turn_index").alias("seg"), "role", X.is_user(F.col("role")).alias("is_user"), "h", "text")
+
+
+def with_files(texts: DataFrame) -> DataFrame:
+    """Rows with ``role, h, text`` and any other columns, with the WAV file as ``content`` in the text's place."""
     h, pause = F.col("h"), X.is_pause(F.col("role"))
     channels = F.when(pause, 1).otherwise(1 + F.floor(h / 3) % 2).cast("long")
     rate = F.when(pause, TL.RATE).otherwise(F.element_at(F.array(*map(F.lit, RATES)), (h % 3 + 1).cast("int"))).cast("long")
     said = F.encode(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(SUFFIXES)), lambda i: F.substr("text", i, F.length("text"))), ""), "UTF-8")
     silence = F.unhex(F.repeat(F.lit("0000"), (14_400 + h % 9_601).cast("int")))
-    raw = lines(spark, d).select("conv_id", F.col("turn_index").alias("seg"), "role", X.is_user(F.col("role")).alias("is_user"), "h", channels.alias("channels"), rate.alias("rate"), F.when(pause, silence).otherwise(said).alias("pcm"))
+    raw = texts.select(*(c for c in texts.columns if c != "text"), channels.alias("channels"), rate.alias("rate"), F.when(pause, silence).otherwise(said).alias("pcm"))
     whole = F.expr("substring(pcm, 1, cast(length(pcm) div (2 * channels) * 2 * channels as int))")
     extra = F.when(h % 5 == 0, F.encode(F.concat(F.lit("INFO"), F.col("role")), "UTF-8"))
     file = A.wav_file(F.col("pcm"), F.col("rate"), F.col("channels"), extra)
     kept = F.when(~F.col("role").startswith("[pause]") & (h % 97 == 0), F.expr("substring(content, 1, length(content) - 1)")).otherwise(F.col("content"))
-    return raw.withColumn("pcm", whole).withColumn("content", file).select("conv_id", "seg", "role", "is_user", "h", kept.alias("content"))
+    return raw.withColumn("pcm", whole).withColumn("content", file).withColumn("content", kept).drop("channels", "rate", "pcm")
+
+
+def clips(spark: SparkSession, d: str) -> DataFrame:
+    """``conv_id, seg, role, is_user, h, content``: one WAV file for each line."""
+    return with_files(clip_texts(spark, d))
 
 
 def wav_durations(spark: SparkSession, d: str) -> DataFrame:
@@ -105,13 +115,13 @@ def effects_slices_audio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def align_backfill(spark: SparkSession, d: str) -> DataFrame:
-    """Where each spoken clip lies in the mix with effects, searched around its clean start."""
-    c, sized = _sized(spark, d)
+    """Where each spoken clip lies in the mix with effects, searched around its clean start.  Texts are
+    shuffled, never their samples."""
+    _, sized = _sized(spark, d)
     placed, _ = spilled(effects_placed(sized), "effects-timeline")
-    totals = placed.groupBy("conv_id").agg(F.max("total_frames").alias("total_frames"))
     expected = clean_placed(sized).select("conv_id", "seg", "channel", "frames", F.col("start_frame").alias("expected"))
-    asked = c.select("conv_id", "seg", "content").join(expected, ["conv_id", "seg"])
-    found = O.align(asked, _mix(placed, c, "total_frames"), totals)
+    texts = clip_texts(spark, d).select("conv_id", "seg", "role", "h", "text")
+    found = O.align_files(texts, with_files, expected, placed)
     return placed.select("conv_id", "seg", F.col("start_frame").alias("start")).join(found.select("conv_id", "seg", "found"), ["conv_id", "seg"])
 
 
