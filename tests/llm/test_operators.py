@@ -376,6 +376,22 @@ def test_paragraphs_around_a_common_phrase(spark):
     assert {(r.doc_id, r.first_word, r.n_words) for r in got} == want
 
 
+def test_paragraphs_inside_copies(spark):
+    """Passages that copies of one text share with other texts are rows of its first copy, and count for all."""
+    rng = np.random.default_rng(10)
+    new = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    wrapped = lambda w: "\n".join(" ".join(w[k : k + 12]) for k in range(0, len(w), 12))
+    n, copies = 25, 40
+    parts = [new(40) for _ in range(n)]
+    text = [w for p in parts for w in p + new(6)]
+    rows = [(100 + i, wrapped(text)) for i in range(copies)] + [(i, wrapped(new(15) + p + new(15))) for i, p in enumerate(parts)]
+    got = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    whole = {(100 + i, 0, len(text), 100, copies, i == 0) for i in range(copies)}
+    inside = {(100, 46 * i, 40, i, copies + 1, False) for i in range(n)} | {(i, 15, 40, i, copies + 1, True) for i in range(n)}
+    assert {(r.doc_id, r.first_word, r.n_words, r.component_id, r.n_places, r.kept) for r in got} == whole | inside
+    assert len(got) == copies + 2 * n
+
+
 def test_winnowing():
     rng = np.random.default_rng(9)
     words = rng.integers(0, 2**63, 900, dtype=np.uint64)

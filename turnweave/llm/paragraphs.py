@@ -24,6 +24,10 @@ Only hashes, places and ids are shuffled; texts come back for candidate paragrap
 A bucket's members meet one of them in each of a few rounds, never all with all; only members
 that this leaves in other components meet the rest, so no link between components is lost.
 
+Documents with one and the same text are a class, of which each has a row for its whole text.  Passages
+inside that text are rows of the class's first document alone, and count for all of them: what
+a copy holds is told by the document that its whole text names.
+
 Nulls and edges: null, empty and short texts have no paragraphs.  Copies within one document
 alone are no repeat across documents and aren't returned.  Rows without an id are left out.
 Rows that share an id are one document.  Extra columns play no part.
@@ -431,7 +435,10 @@ def passages(texts: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """One row per paragraph that repeats across documents: ``doc_id, first_word, n_words,
     kind, component_id`` (the smallest document of its component), ``n_places`` (paragraphs
-    in the component), ``kept`` (the paragraph that stays)."""
+    in the component, those of copies too), ``kept`` (the paragraph that stays).
+
+    Passages over any lines (``kind`` 1) are rows of the first of the documents that have the text.  The
+    others have a row for the whole text, from word 0, whose ``component_id`` is that first document."""
     arrow_limits(docs.sparkSession, 500)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
     marks, path = spilled(texts.mapInArrow(_marks, MARKS), "para-marks")
@@ -442,12 +449,15 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     keys = materialize(again.union(found.select(F.lit(0), "v")).distinct())
     placed = units.join(_sized(keys), ["kind", "key"], "left_semi").join(found.select(F.lit(0).alias("kind"), F.col("v").alias("key"), "component"), ["kind", "key"], "left")
     placed = placed.select("doc_id", F.col("first_word").cast("long").alias("first_word"), "n_words", "kind", F.coalesce("component", "key").alias("component"))
-    inside = passages(texts, marks, percent).join(marks.select("doc_id", "tid").distinct(), "tid")
-    inside = inside.select("doc_id", "first_word", F.col("n_words").cast("int").alias("n_words"), F.lit(1).alias("kind"), "component").distinct()
-    placed = spill(placed.union(inside), "para-placed")
+    # a text's passages times its copies would grow with the square of a group, so copies are counted
+    copies = marks.select("doc_id", "tid").distinct().groupBy("tid").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n_docs"))
+    inside = passages(texts, marks, percent).join(copies, "tid").groupBy("doc_id", "first_word", "n_words", "component")
+    inside = inside.agg(F.max("last").alias("last"), (F.sum("n_docs") - F.count(F.lit(1)) + 1).alias("n_docs"))  # versions of a document are one
+    inside = inside.select("doc_id", "first_word", F.col("n_words").cast("int").alias("n_words"), F.lit(1).alias("kind"), "component", "last", "n_docs")
+    placed = spill(placed.select("*", F.col("doc_id").alias("last"), F.lit(1).cast("long").alias("n_docs")).union(inside), "para-placed")
     drop_path(docs.sparkSession, path)
     place = F.struct("doc_id", "first_word", "n_words")
-    groups = placed.groupBy("kind", "component").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last"), F.min(place).alias("stays"), F.count(F.lit(1)).alias("n_places")).where("component_id < last")
+    groups = placed.groupBy("kind", "component").agg(F.min("doc_id").alias("component_id"), F.max("last").alias("last"), F.min(place).alias("stays"), F.sum("n_docs").alias("n_places")).where("component_id < last").drop("last")
     rows = placed.join(groups, ["kind", "component"])
     return rows.select("doc_id", "first_word", "n_words", "kind", "component_id", "n_places", (place == F.col("stays")).alias("kept"))
 
